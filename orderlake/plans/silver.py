@@ -13,8 +13,11 @@ from orderlake.sources.tables import read_bronze, read_quarantine, read_silver,
 
 
 def silver_current(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Typed silver rows, one per order. One shuffle, by order key, of pre-pruned rows."""
-    return typed_orders(latest_per_order(flag_and_impute_region(valid_order(bronze))), as_of)
+    """Typed silver rows, one per order. One shuffle, by order key, of pre-pruned rows.
+
+    The raw rows compete; region and types are worked out for the winners only.
+    """
+    return typed_orders(flag_and_impute_region(latest_per_order(valid_order(bronze))), as_of)
 
 
 def refresh(
