@@ -54,6 +54,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows of a table that is stored in fewer pieces than there are cores, over all cores. A table
+    in many pieces, as on a cluster, is left as it is."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def sales_sql_duckdb(source_file: str = FEW_FILES) -> str:
     return SALES_SQL.format(
         order_date="strftime(o_orderdate,'%-m/%-d/%Y')",
@@ -66,6 +73,7 @@ def sales_sql_duckdb(source_file: str = FEW_FILES) -> str:
 def sales(spark: SparkSession, sf_dir: str, source_file: str = FEW_FILES) -> DataFrame:
     """Bronze-shaped rows without checksum."""
     frames = {name: table(spark, sf_dir, name) for name in TABLES}
+    frames["lineitem"] = spread(frames["lineitem"])
     text = SALES_SQL.format(
         order_date="date_format(o_orderdate,'M/d/yyyy')",
         ship_date="date_format(l_shipdate,'M/d/yyyy')",

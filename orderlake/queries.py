@@ -20,7 +20,7 @@ from orderlake.operators.latest import ORDERING, latest_per_order
 from orderlake.operators.metrics import load_metrics, refresh_metrics, refresh_report
 from orderlake.operators.split import quarantine, valid_order
 from orderlake.operators.typed import flag_and_impute_region, typed_orders
-from orderlake.plans.ingest import bronze_rows, write_manifest
+from orderlake.plans.ingest import bronze_rows, widest_header, write_manifest
 from orderlake.plans.silver import refresh, silver_current
 from orderlake.sinks.tables import (
     append_bronze,
@@ -30,7 +30,7 @@ from orderlake.sinks.tables import (
     overwrite_silver,
     publish_tables,
 )
-from orderlake.sources.csv import header_width, read_csv
+from orderlake.sources.csv import match_headers, read_csv
 from orderlake.sources.events import landing_keys
 from orderlake.sources.landing import filter_landing_keys, scan_landing
 from orderlake.sources.tables import between_dates, read_bronze, read_silver
@@ -551,7 +551,7 @@ KEY_OF_NOTICE_SQL = """case when json_exists(event, '$.landing_key') then event-
  select * from decoded where starts_with(landing_key, 'landing/') and ends_with(lower(landing_key), '.zip')"""
 )
 def notified_keys(spark, sf_dir) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = fixtures.spread(table(spark, sf_dir, "events"))
     keyed = events.selectExpr("event_id", f"{NOTICE_KEY} as key")
     return landing_keys(keyed.selectExpr("event_id", f"{NOTICE} as event"), BUCKET)
 
@@ -570,9 +570,10 @@ def zip_roundtrip(spark, sf_dir) -> DataFrame:
     manifest = write_manifest(files, lake, "once")
     totals = manifest.agg(
         F.count("*").alias("usable"), F.max("member_bytes").alias("largest_member"),
-        F.sum("member_bytes").alias("member_bytes"), F.max(header_width("header")).alias("width"),
+        F.sum("member_bytes").alias("member_bytes"),
     ).first().asDict()
-    rows = bronze_rows(files, manifest, totals, as_of(), totals["width"])
+    width = widest_header(manifest)
+    rows = bronze_rows(files, match_headers(manifest, width), totals, as_of(), width)
     return rows.select(*schemas.DATA_COLUMNS, "_source_file")
 
 
@@ -584,9 +585,8 @@ def stream_ingest(spark, sf_dir) -> DataFrame:
     lake, checkpoint = Lake(f"{root}/lake"), f"{root}/checkpoint"
     fixtures.land_sales(spark, sf_dir, lake.root)
     start_ingest(spark, lake, checkpoint, archive=False).awaitTermination()
-    copies = Lake(f"{root}/copies")
-    fixtures.land_sales(spark, sf_dir, copies.root)
-    shutil.copytree(copies.landing, f"{lake.landing}/again")
+    shutil.copytree(lake.landing, f"{root}/copies")
+    shutil.copytree(f"{root}/copies", f"{lake.landing}/again")
     start_ingest(spark, lake, checkpoint, archive=False).awaitTermination()
     return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
 

@@ -11,17 +11,15 @@ _EVENT = (
 )
 
 
-def raw_event_key(event: str | Column, bucket: str) -> Column:
+def event_key(text: Column, parsed: Column, bucket: str) -> Column:
     """The key as it stands in the event, NULL if none of the three shapes gives one.
 
     A `landing_key` field ends the search even when it is null or empty. The bucket is checked in
     the `detail` shape only, and only the first of `Records` counts.
     """
-    text = F.col(event) if isinstance(event, str) else event
-    parsed = F.from_json(text, _EVENT)
     detail_key = parsed["detail"]["object"]["key"]
     record = F.get(parsed["Records"], 0)
-    key = (
+    return (
         F.when(
             F.array_contains(F.json_object_keys(text), "landing_key"), parsed["landing_key"]
         )
@@ -31,12 +29,15 @@ def raw_event_key(event: str | Column, bucket: str) -> Column:
         )
         .when(record["eventSource"] == "aws:s3", record["s3"]["object"]["key"])
     )
-    return F.nullif(key, F.lit(""))
 
 
 def landing_keys(events: DataFrame, bucket: str, column: str = "event") -> DataFrame:
-    """Events -> one `landing_key` per event that announces a landing ZIP, decoded."""
-    return (
-        events.withColumn("landing_key", decode_key(raw_event_key(column, bucket)))
-        .filter(is_landing_zip("landing_key"))
-    )
+    """Events -> one `landing_key` per event that announces a landing ZIP, decoded.
+
+    The test sits inside the array that is exploded, not in a filter behind it: Spark would push
+    such a filter down and work the key out a second time for it.
+    """
+    parsed = events.withColumn("_parsed", F.from_json(column, _EVENT))
+    key = decode_key(event_key(F.col(column), F.col("_parsed"), bucket))
+    wanted = F.filter(F.array(key), is_landing_zip)
+    return parsed.select(*events.columns, F.explode(wanted).alias("landing_key"))
