@@ -1,0 +1,264 @@
+"""Batches of ZIP files, cut off and repeated, and the stream around them."""
+
+import glob
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlake.operators import ledger as L
+from orderlake.plans import ingest
+from orderlake.plans.ingest import ingest_files, load_reports, reused
+from orderlake.plans.silver import reconciliation, refresh_reports
+from orderlake.schemas import HEADER_MAP
+from orderlake.sources.landing import scan_landing
+from orderlake.sources.tables import read_bronze, read_ledger, read_quarantine, read_silver
+from orderlake.streaming.ingest import start_ingest, stream_landing_keys
+from zips import csv, line, write_zip
+
+
+def run(spark, lake, batch):
+    rows = ingest_files(scan_landing(spark, lake), lake, batch).collect()
+    newest = {}
+    for row in sorted(rows, key=lambda row: row.attempt):
+        newest[row.landing_key.rsplit("/", 1)[1]] = row
+    return newest
+
+
+def outcomes(report):
+    return {name: row.outcome for name, row in report.items()}
+
+
+def orders(spark, lake):
+    return sorted(row.order_id for row in read_bronze(spark, lake).filter("order_id IS NOT NULL").collect())
+
+
+def states(spark, lake):
+    return {
+        row.landing_key: row.status
+        for row in L.current_state(read_ledger(spark, lake)).collect()
+    }
+
+
+def test_one_batch_of_many_kinds_of_files(spark, lake):
+    reordered = [name for name in reversed(HEADER_MAP)] + ["Extra"]
+    fields = line(3).split(",")
+    write_zip(lake.root, "landing/ingest_date=2026-01-01/a.zip", csv(line(1), line("", region="")), 1000)
+    write_zip(lake.root, "landing/copy_of_a.zip", csv(line(1), line("", region="")), 2000)
+    write_zip(lake.root, "landing/reordered.ZIP",
+              csv(",".join(fields[::-1] + ["x"]), header=",".join(reordered)))
+    write_zip(lake.root, "landing/few.zip", csv("4,Asia", "5,Asia", header="Order ID,region"))
+    write_zip(lake.root, "landing/header_only.zip", csv())
+    write_zip(lake.root, "landing/two.zip", {"x.csv": csv(line(6)), "y.csv": csv(line(7))})
+    write_zip(lake.root, "landing/none.zip", {"a.txt": "x"})
+    report = run(spark, lake, "b1")
+    assert outcomes(report) == {
+        "a.zip": "SUCCESS", "copy_of_a.zip": "SKIPPED", "reordered.ZIP": "SUCCESS",
+        "few.zip": "SUCCESS", "header_only.zip": "SUCCESS", "two.zip": "SUCCESS",
+        "none.zip": "FAILURE",
+    }
+    a = report["a.zip"]
+    assert (a.row_count, a.missing_region, a.missing_order_id) == (2, 1, 1)
+    assert a.archive_key == f"archive/ingest_date=2026-01-01/{a.checksum_sha256[:12]}_a.zip"
+    assert report["header_only.zip"].row_count == 0
+    assert report["few.zip"].unmatched_headers == ["region"] and report["few.zip"].missing_region == 2
+    assert report["reordered.ZIP"].unmatched_headers == ["Extra"]
+    assert "several CSV files" in report["two.zip"].detail and "x.csv" in report["two.zip"].detail
+    assert "no CSV" in report["none.zip"].detail and report["none.zip"].archive_key is None
+    assert orders(spark, lake) == ["1", "3", "4", "5", "6"]
+    three = read_bronze(spark, lake).filter("order_id = '3'").first()
+    assert [three[name] for name in HEADER_MAP.values()] == fields
+    assert three._source_file == "landing/reordered.ZIP"
+    assert three._checksum_sha256 == report["reordered.ZIP"].checksum_sha256
+    assert read_quarantine(spark, lake).count() == 1 and read_silver(spark, lake).count() == 5
+    assert set(states(spark, lake).values()) == {"completed", "processing"}
+    assert states(spark, lake)["landing/none.zip"] == "processing"
+    assert reconciliation(spark, lake, refresh_reports(spark, lake)).first().is_sound
+
+
+def test_completed_files_are_skipped_and_nothing_is_refreshed(spark, lake):
+    write_zip(lake.root, "landing/a.zip", csv(line(1)))
+    run(spark, lake, "b1")
+    runs = refresh_reports(spark, lake).count()
+    write_zip(lake.root, "landing/again.zip", csv(line(1)))
+    assert outcomes(run(spark, lake, "b2")) == {"a.zip": "SKIPPED", "again.zip": "SKIPPED"}
+    assert orders(spark, lake) == ["1"] and refresh_reports(spark, lake).count() == runs == 1
+    # The same name with new bytes is a new file.
+    write_zip(lake.root, "landing/a.zip", csv(line(2)))
+    assert outcomes(run(spark, lake, "b3")) == {"a.zip": "SUCCESS", "again.zip": "SKIPPED"}
+    assert orders(spark, lake) == ["1", "2"]
+
+
+@pytest.mark.parametrize(
+    "step, outcome, order_ids",
+    [
+        ("append_bronze", "SUCCESS", ["1", "2"]),
+        ("load_metrics", "SUCCESS", ["1", "2"]),
+        ("refresh", "RECOVERED", ["1", "2"]),
+        ("archive_key", "RECOVERED", ["1", "2"]),
+    ],
+)
+def test_a_batch_cut_off_at_any_step_is_finished_by_its_replay(
+    spark, lake, monkeypatch, step, outcome, order_ids
+):
+    write_zip(lake.root, "landing/a.zip", csv(line(1), line("")))
+    write_zip(lake.root, "landing/b.zip", csv(line(2)))
+    calls = []
+
+    def crash(*args, **kwargs):
+        calls.append(step)
+        # load_metrics is called once before bronze is written, for its empty frame.
+        if step == "load_metrics" and len(calls) == 1:
+            return original(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    original = getattr(ingest, step)
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, step, crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            run(spark, lake, "b1")
+    assert set(states(spark, lake).values()) < {"processing", "bronze_loaded"}
+    assert set(outcomes(run(spark, lake, "b1")).values()) == {outcome}
+    assert orders(spark, lake) == order_ids and read_bronze(spark, lake).count() == 3
+    assert set(states(spark, lake).values()) == {"completed"}
+    assert read_silver(spark, lake).count() == 2 and read_quarantine(spark, lake).count() == 1
+    assert set(outcomes(run(spark, lake, "b1")).values()) == {"SKIPPED"}
+
+
+def test_a_large_member_is_spread_before_parsing(spark, lake, monkeypatch):
+    write_zip(lake.root, "landing/a.zip", csv(*[line(i) for i in range(2000)]))
+    monkeypatch.setattr(ingest, "TARGET_FILE_BYTES", 20_000)
+    assert run(spark, lake, "b1")["a.zip"].row_count == 2000
+    assert orders(spark, lake) == sorted(map(str, range(2000)))
+
+
+def test_more_files_than_may_be_broadcast(spark, lake, monkeypatch):
+    for i in range(5):
+        write_zip(lake.root, f"landing/{i}.zip", csv(line(i)))
+    monkeypatch.setattr(ingest, "MAX_BROADCAST_FILES", 2)
+    assert set(outcomes(run(spark, lake, "b1")).values()) == {"SUCCESS"}
+    assert orders(spark, lake) == list("01234")
+
+
+def test_empty_landing_folder(spark, lake):
+    os.makedirs(lake.landing)
+    assert run(spark, lake, "b1") == {} and read_bronze(spark, lake).isEmpty()
+
+
+def test_later_file_wins(spark, lake):
+    write_zip(lake.root, "landing/1.zip", csv(line(1, country="Old")))
+    run(spark, lake, "b1")
+    write_zip(lake.root, "landing/0.zip", csv(line(1, country="New")))
+    run(spark, lake, "b2")
+    assert [row.country for row in read_silver(spark, lake).collect()] == ["New"]
+
+
+def test_reused_frames_are_released(spark):
+    frame = spark.range(3)
+    with pytest.raises(ValueError):
+        with reused(frame) as kept:
+            assert kept.count() == 3 and kept.storageLevel.useMemory and kept.storageLevel.useDisk
+            raise ValueError
+    assert not frame.storageLevel.useMemory
+
+
+def stream(spark, lake, **options):
+    query = start_ingest(spark, lake, f"{lake.root}/checkpoint", **options)
+    query.awaitTermination()
+    return query
+
+
+def test_stream_restarts_and_archives(spark, lake):
+    write_zip(lake.root, "landing/ingest_date=2026-01-01/a.zip", csv(line(1)))
+    write_zip(lake.root, "landing/b.zip", csv(line(2)))
+    first = stream(spark, lake, max_files=1)
+    assert orders(spark, lake) == ["1", "2"] and refresh_reports(spark, lake).count() == 2
+    again = stream(spark, lake)
+    assert again.id == first.id and refresh_reports(spark, lake).count() == 2
+    write_zip(lake.root, "landing/copy.zip", csv(line(1)))
+    write_zip(lake.root, "landing/c.zip", csv(line(3)))
+    stream(spark, lake)
+    write_zip(lake.root, "landing/d.zip", csv(line(4)))
+    stream(spark, lake)
+    assert orders(spark, lake) == ["1", "2", "3", "4"]
+    found = {row.landing_key: row.outcome for row in load_reports(spark, lake).collect()}
+    assert found["landing/copy.zip"] == "SKIPPED" and found["landing/d.zip"] == "SUCCESS"
+    # Spark moves a batch's files when a later batch is committed; duplicates are moved too.
+    left = {os.path.basename(path) for path in glob.glob(f"{lake.landing}/**/*.zip", recursive=True)}
+    moved = {os.path.basename(path) for path in glob.glob(f"{lake.archive}/**/*.zip", recursive=True)}
+    assert moved >= {"a.zip", "b.zip"} and not moved & left and moved | left == {
+        "a.zip", "b.zip", "c.zip", "copy.zip", "d.zip",
+    }
+
+
+def test_stream_on_a_new_checkpoint_keeps_what_was_loaded(spark, lake):
+    write_zip(lake.root, "landing/a.zip", csv(line(1)))
+    stream(spark, lake, archive=False)
+    shutil.copytree(f"{lake.root}/checkpoint", f"{lake.root}/old")
+    write_zip(lake.root, "landing/b.zip", csv(line(2)))
+    query = start_ingest(spark, lake, f"{lake.root}/other", archive=False)
+    query.awaitTermination()
+    assert orders(spark, lake) == ["1", "2"]
+
+
+def test_stream_finishes_a_batch_that_was_cut_off(spark, lake, monkeypatch):
+    write_zip(lake.root, "landing/a.zip", csv(line(1)))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "refresh", crash)
+        with pytest.raises(Exception, match="lost"):
+            stream(spark, lake)
+    assert set(states(spark, lake).values()) == {"bronze_loaded"}
+    stream(spark, lake)
+    assert orders(spark, lake) == ["1"] and set(states(spark, lake).values()) == {"completed"}
+    assert read_silver(spark, lake).count() == 1
+
+
+def test_old_files_are_not_ignored(spark, lake):
+    write_zip(lake.root, "landing/new.zip", csv(line(1)))
+    stream(spark, lake, archive=False)
+    write_zip(lake.root, "landing/old.zip", csv(line(2)), modified=1_000_000_000)
+    stream(spark, lake, archive=False)
+    assert orders(spark, lake) == ["1", "2"]
+
+
+def test_event_stream_uses_the_batch_operator(spark, tmp_path):
+    source = tmp_path / "events"
+    spark.createDataFrame(
+        [('{"landing_key": "landing/a+b.zip"}',), ('{"landing_key": "x.txt"}',)], "event STRING"
+    ).write.parquet(str(source))
+    events = spark.readStream.schema("event STRING").parquet(str(source))
+    query = (
+        stream_landing_keys(events, "B").writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    assert [row[0] for row in spark.read.parquet(str(tmp_path / "out")).collect()] == ["landing/a b.zip"]
+
+
+def test_adaptive_execution_is_on_inside_the_stream(spark, lake, monkeypatch):
+    seen = []
+    original = ingest.write_manifest
+
+    def spy(files, *args):
+        seen.append(files.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return original(files, *args)
+
+    monkeypatch.setattr(ingest, "write_manifest", spy)
+    write_zip(lake.root, "landing/a.zip", csv(line(1)))
+    stream(spark, lake)
+    assert seen == ["true"]
+
+
+def test_checksum_column_is_the_files(spark, lake):
+    import hashlib
+
+    path = write_zip(lake.root, "landing/a.zip", csv(line(1)))
+    run(spark, lake, "b1")
+    expected = hashlib.sha256(open(path, "rb").read()).hexdigest()
+    assert read_bronze(spark, lake).select(F.collect_set("_checksum_sha256")).first()[0] == [expected]
