@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.files.maxPartitionBytes": "134217728",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.session.timeZone": "UTC",
+    # Spares the driver a stack trace for every column expression it builds.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 TARGET_FILE_BYTES = 134217728

@@ -129,13 +129,13 @@ def mark_completed(
     )
 
 
-def current_state(events: DataFrame) -> DataFrame:
-    """One row per checksum: the last value of every attribute since the last put.
+def current_state(events: DataFrame, attributes: list[str] | None = None) -> DataFrame:
+    """One row per checksum: the last value of every attribute (or of some) since the last put.
 
     One aggregate without window or join. Of each attribute the last value ever set is kept with
     its `seq`; a put after it has cleared it.
     """
-    names = LEDGER_ATTRIBUTES.names
+    names = attributes or LEDGER_ATTRIBUTES.names
     last = [
         F.max(F.when(F.col(name).isNotNull(), F.struct("seq", name))).alias(name)
         for name in names
