@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -125,7 +126,9 @@ def write_zips(lines: DataFrame, root: str, headers: list[str] | None = None) ->
             os.replace(f"{target}.part", target)
 
         for batch in batches:
-            for key, line in zip(*(column.to_pylist() for column in batch.columns)):
+            keys = pc.run_end_encode(batch.column("_source_file"))
+            start = 0
+            for key, end in zip(keys.values.to_pylist(), keys.run_ends.to_pylist()):
                 if key != name:
                     if member:
                         finish()
@@ -138,7 +141,9 @@ def write_zips(lines: DataFrame, root: str, headers: list[str] | None = None) ->
                     info.compress_type = zipfile.ZIP_DEFLATED
                     member = archive.open(info, "w", force_zip64=True)
                     member.write(f"{header}\n".encode())
-                member.write(f"{line}\n".encode())
+                lines = batch.column("line").slice(start, end - start).to_pylist()
+                member.write("".join(f"{line}\n" for line in lines).encode())
+                start = end
         if member:
             finish()
             yield _one_string(name)

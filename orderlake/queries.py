@@ -34,7 +34,7 @@ from orderlake.sources.csv import match_headers, read_csv
 from orderlake.sources.events import landing_keys
 from orderlake.sources.landing import filter_landing_keys, scan_landing
 from orderlake.sources.tables import between_dates, read_bronze, read_silver
-from orderlake.streaming.ingest import start_ingest
+from orderlake.streaming.ingest import run_ingest, start_ingest
 
 QUERIES = {}
 ORACLES = {}
@@ -584,10 +584,10 @@ def stream_ingest(spark, sf_dir) -> DataFrame:
     root = scratch_dir(spark)
     lake, checkpoint = Lake(f"{root}/lake"), f"{root}/checkpoint"
     fixtures.land_sales(spark, sf_dir, lake.root)
-    start_ingest(spark, lake, checkpoint, archive=False).awaitTermination()
+    run_ingest(spark, lake, checkpoint, archive=False)
     shutil.copytree(lake.landing, f"{root}/copies")
     shutil.copytree(f"{root}/copies", f"{lake.landing}/again")
-    start_ingest(spark, lake, checkpoint, archive=False).awaitTermination()
+    run_ingest(spark, lake, checkpoint, archive=False)
     return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
 
 

@@ -54,15 +54,25 @@ def overwrite_silver(silver: DataFrame, lake: Lake) -> None:
 
 def write_batch_rows(rows: DataFrame, path: str) -> None:
     """One row per file of a micro-batch - ledger events, a manifest, a report - as one Parquet
-    file. The stream bounds their number; one file makes the write all or nothing."""
-    rows.coalesce(1).write.mode("overwrite").option("compression", CODEC).parquet(path)
+    file. The stream bounds their number; one file makes the write all or nothing.
+
+    The rows are shuffled into that file: merging partitions without a shuffle would also put the
+    reading of all ZIPs, of which they are the result, into one task.
+    """
+    rows.repartition(1).write.mode("overwrite").option("compression", CODEC).parquet(path)
 
 
 def append_ledger(events: DataFrame, lake: Lake, seq: int) -> None:
-    """Add the events of one step. All of them carry `seq`, the step's place in the ledger."""
+    """Add the events of one step of a batch. All carry `seq`, the step's place in the ledger."""
     write_batch_rows(events, f"{lake.ledger}/event_seq={seq}")
 
 
+def append_ledger_of_many_batches(events: DataFrame, lake: Lake, seq: int) -> None:
+    """The same for events whose number no batch bounds. They may become visible in part; that must
+    be harmless to the step they record."""
+    overwrite(events, f"{lake.ledger}/event_seq={seq}", events.columns)
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

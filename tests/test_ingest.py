@@ -14,7 +14,7 @@ from orderlake.plans.silver import reconciliation, refresh_reports
 from orderlake.schemas import HEADER_MAP
 from orderlake.sources.landing import scan_landing
 from orderlake.sources.tables import read_bronze, read_ledger, read_quarantine, read_silver
-from orderlake.streaming.ingest import start_ingest, stream_landing_keys
+from orderlake.streaming.ingest import run_ingest, start_ingest, stream_landing_keys
 from zips import csv, line, write_zip
 
 
@@ -192,6 +192,26 @@ def test_stream_restarts_and_archives(spark, lake):
     }
 
 
+def test_a_run_of_many_batches_refreshes_once(spark, lake, monkeypatch):
+    for i in range(3):
+        write_zip(lake.root, f"landing/{i}.zip", csv(line(i)))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "refresh", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_ingest(spark, lake, f"{lake.root}/checkpoint", max_files=1)
+    assert set(states(spark, lake).values()) == {"bronze_loaded"}
+    run_ingest(spark, lake, f"{lake.root}/checkpoint")
+    assert set(states(spark, lake).values()) == {"completed"}
+    assert refresh_reports(spark, lake).count() == 1 and read_silver(spark, lake).count() == 3
+    assert ingest.finish_loaded(spark, lake) is False
+    items = L.current_state(read_ledger(spark, lake)).collect()
+    assert {item.archive_key[-6:] for item in items} == {"_0.zip", "_1.zip", "_2.zip"}
+
+
 def test_stream_on_a_new_checkpoint_keeps_what_was_loaded(spark, lake):
     write_zip(lake.root, "landing/a.zip", csv(line(1)))
     stream(spark, lake, archive=False)
