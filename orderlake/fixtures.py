@@ -1,17 +1,19 @@
 """Inputs for the registered queries and the tests, derived by Spark from the star schema."""
 
-import os
 import sys
 import tempfile
+import uuid
 import zipfile
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlake.functions.paths import LANDING_PREFIX
-from orderlake.schemas import DATA_COLUMNS, HEADER_MAP
+from orderlake.lake import Lake
+from orderlake.schemas import HEADER_MAP
 
 # Tasks get the functions of this module with the job: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,36 +96,55 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         return tempfile.mkdtemp(prefix="orderlake-")
-    if "://" in shared or shared.startswith("file:"):
-        name = next(tempfile._get_candidate_names())
-        return f"{shared.rstrip('/')}/orderlake-{name}"
-    os.makedirs(shared, exist_ok=True)
-    return tempfile.mkdtemp(prefix="orderlake-", dir=shared)
+    if shared.startswith("file:"):
+        shared = shared.removeprefix("file:").replace("///", "/", 1)
+    return f"{shared.rstrip('/')}/orderlake-{uuid.uuid4().hex}"
 
 
-def to_csv_lines(rows: DataFrame, headers: dict[str, str] | None = None) -> DataFrame:
-    """Bronze-shaped rows -> `_source_file`, `line`. `headers` maps column -> CSV header, in the
-    order wanted; the first line is written by `write_zips`."""
-    columns = list(headers or {c: h for h, c in HEADER_MAP.items()})
+def to_csv_lines(rows: DataFrame) -> DataFrame:
+    """Bronze-shaped rows -> `_source_file` and the row as a `line` of CSV in source order."""
     keep_spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    return rows.select("_source_file", F.to_csv(F.struct(*columns), keep_spaces).alias("line"))
+    return rows.select(
+        "_source_file", F.to_csv(F.struct(*HEADER_MAP.values()), keep_spaces).alias("line")
+    )
 
 
-def write_zips(lines: DataFrame, root: str, headers: list[str] | None = None) -> DataFrame:
-    """Write one ZIP per `_source_file` under `root`, in tasks; returns one row per file.
+def write_zips(lines: DataFrame, root: str, copies: str | None = None) -> DataFrame:
+    """Write one ZIP per `_source_file` under `root`, in tasks; returns one row per file. With
+    `copies`, each ZIP is also put under that folder.
 
-    `root` must be a folder that Python can write to in every task. A ZIP is written under a
-    temporary name and then renamed, so that a repeated task leaves the same file.
+    A ZIP is written under a temporary name and then renamed, so that a repeated task leaves the
+    same file.
     """
-    header = ",".join(headers or HEADER_MAP)
+    header = ",".join(HEADER_MAP)
 
     def run(batches):
-        name, target, archive, member = None, None, None, None
+        files, folder = fs.FileSystem.from_uri(root)
+        name = archive = member = None
+
+        def begin(key):
+            path = f"{folder}/{key}"
+            files.create_dir(path.rpartition("/")[0])
+            archive = zipfile.ZipFile(files.open_output_stream(f"{path}.part"), "w")
+            # A fixed time stamp: the same rows give the same bytes.
+            info = zipfile.ZipInfo("sales.csv", (2026, 1, 1, 0, 0, 0))
+            info.compress_type = zipfile.ZIP_DEFLATED
+            member = archive.open(info, "w", force_zip64=True)
+            member.write(f"{header}\n".encode())
+            return key, archive, member
 
         def finish():
             member.close()
+            stream = archive.fp
             archive.close()
-            os.replace(f"{target}.part", target)
+            stream.close()
+            path = f"{folder}/{name}"
+            files.move(f"{path}.part", path)
+            if copies:
+                target = f"{fs.FileSystem.from_uri(copies)[1]}/{name}"
+                files.create_dir(target.rpartition("/")[0])
+                files.copy_file(path, target)
+            return pa.RecordBatch.from_pydict({"landing_key": [name]})
 
         for batch in batches:
             keys = pc.run_end_encode(batch.column("_source_file"))
@@ -131,35 +152,28 @@ def write_zips(lines: DataFrame, root: str, headers: list[str] | None = None) ->
             for key, end in zip(keys.values.to_pylist(), keys.run_ends.to_pylist()):
                 if key != name:
                     if member:
-                        finish()
-                        yield _one_string(name)
-                    name, target = key, os.path.join(root, key)
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    archive = zipfile.ZipFile(f"{target}.part", "w", zipfile.ZIP_DEFLATED)
-                    # A fixed time stamp: the same rows give the same bytes.
-                    info = zipfile.ZipInfo("sales.csv", (2026, 1, 1, 0, 0, 0))
-                    info.compress_type = zipfile.ZIP_DEFLATED
-                    member = archive.open(info, "w", force_zip64=True)
-                    member.write(f"{header}\n".encode())
-                lines = batch.column("line").slice(start, end - start).to_pylist()
-                member.write("".join(f"{line}\n" for line in lines).encode())
+                        yield finish()
+                    name, archive, member = begin(key)
+                texts = batch.column("line").slice(start, end - start).to_pylist()
+                member.write("".join(f"{text}\n" for text in texts).encode())
                 start = end
         if member:
-            finish()
-            yield _one_string(name)
+            yield finish()
 
     ordered = lines.repartition("_source_file").sortWithinPartitions("_source_file", "line")
     return ordered.mapInArrow(run, "landing_key STRING")
 
 
-def _one_string(value):
-    return pa.RecordBatch.from_pydict({"landing_key": [value]})
-
-
-def land_sales(spark: SparkSession, sf_dir: str, root: str) -> int:
+def land_sales(spark: SparkSession, sf_dir: str, root: str, copies: str | None = None) -> int:
     """The sales rows as ZIPs in the landing folder of a lake at `root`; returns their number."""
     rows = sales(spark, sf_dir, MANY_FILES)
-    return write_zips(to_csv_lines(rows), root).count()
+    return write_zips(to_csv_lines(rows), root, copies).count()
+
+
+def land_copies(copies: str, lake: Lake) -> None:
+    """Let the copies land too, under other names: one rename of their folder."""
+    files, source = fs.FileSystem.from_uri(f"{copies}/landing")
+    files.move(source, fs.FileSystem.from_uri(f"{lake.landing}/again")[1])
 
 
 def document_files(documents: DataFrame) -> DataFrame:

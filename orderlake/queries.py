@@ -4,7 +4,6 @@ A query is a function of (session, data folder); its SQL runs in DuckDB on the s
 """
 
 import os
-import shutil
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -583,10 +582,9 @@ def stream_ingest(spark, sf_dir) -> DataFrame:
     must not be loaded again."""
     root = scratch_dir(spark)
     lake, checkpoint = Lake(f"{root}/lake"), f"{root}/checkpoint"
-    fixtures.land_sales(spark, sf_dir, lake.root)
+    fixtures.land_sales(spark, sf_dir, lake.root, f"{root}/copies")
     run_ingest(spark, lake, checkpoint, archive=False)
-    shutil.copytree(lake.landing, f"{root}/copies")
-    shutil.copytree(f"{root}/copies", f"{lake.landing}/again")
+    fixtures.land_copies(f"{root}/copies", lake)
     run_ingest(spark, lake, checkpoint, archive=False)
     return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
 
