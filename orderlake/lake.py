@@ -21,6 +21,20 @@ SESSION_CONF = {
 TARGET_FILE_BYTES = 134217728
 
 
+def sized_conf(bronze_bytes: int) -> dict[str, str]:
+    """The settings for a session that refreshes a bronze table of this size.
+
+    Adaptive execution joins shuffle partitions that turn out small but cannot divide one that is too
+    large for a window, so a refresh starts with many: one per two target files of bronze, never
+    fewer than Spark's default. Beyond 100,000 the number of shuffle blocks would cost more than
+    larger partitions, which sort on disk.
+    """
+    partitions = min(max(200, -(-bronze_bytes // (2 * TARGET_FILE_BYTES))), 100_000)
+    return SESSION_CONF | {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)
+    }
+
+
 @dataclass(frozen=True)
 class Lake:
     """Folders of one lake. `root` is any URI that Spark can read and write."""

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake import schemas
+from orderlake.lake import sized_conf
 from orderlake.plans.silver import reconciliation, refresh, silver_current
 from orderlake.sinks.tables import (
     append_bronze,
@@ -144,3 +145,8 @@ def test_sql_tables(spark, lake, bronze):
         "SELECT order_id, COUNT(*) FROM sinks_test.sales_silver GROUP BY order_id HAVING COUNT(*) > 1"
     )
     assert duplicates.isEmpty()
+
+
+def test_shuffle_partitions_follow_the_size_of_bronze():
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert [sized_conf(size)[name] for size in (0, 10**12, 10**14)] == ["200", "3726", "100000"]
