@@ -44,13 +44,12 @@ DATA = ", ".join(schemas.DATA_COLUMNS)
 BUCKET = "lake-bucket"
 
 
-def query(sql: str | None = None):
-    """Register a query under its function's name."""
+def query(sql: str, name: str | None = None):
+    """Register a query under its function's name, or another where an operator has that name."""
 
     def register(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
+        QUERIES[name or function.__name__] = function
+        ORACLES[name or function.__name__] = sql
         return function
 
     return register
@@ -156,7 +155,8 @@ def csv_scan(spark, sf_dir) -> DataFrame:
     layers_sql()
     + f"""select _source_file, count(*) as row_count,
  cast(count_if({NO_REGION}) as bigint) as missing_region,
- cast(count_if({NO_ORDER}) as bigint) as missing_order_id from bronze group by _source_file"""
+ cast(count_if({NO_ORDER}) as bigint) as missing_order_id from bronze group by _source_file""",
+    name="load_metrics",
 )
 def load_report(spark, sf_dir) -> DataFrame:
     """Load metrics per source file."""
@@ -181,7 +181,7 @@ def region_imputed(spark, sf_dir) -> DataFrame:
     return flag_and_impute_region(valid_order(fixtures.bronze(spark, sf_dir)))
 
 
-@query(layers_sql() + typed_sql("imputed"))
+@query(layers_sql() + typed_sql("imputed"), name="typed_orders")
 def typed_rows(spark, sf_dir) -> DataFrame:
     """Typed projection of all valid rows, before deduplication."""
     return typed_orders(
@@ -206,12 +206,12 @@ def integer_texts(spark, sf_dir) -> DataFrame:
     return texts.withColumn("number", parse_int("number_text"))
 
 
-@query(layers_sql() + "select * from latest")
+@query(layers_sql() + "select * from latest", name="latest_per_order")
 def latest_rows(spark, sf_dir) -> DataFrame:
     return latest_per_order(valid_order(fixtures.bronze(spark, sf_dir)))
 
 
-@query(layers_sql() + "select * from silver")
+@query(layers_sql() + "select * from silver", name="silver_current")
 def silver_rows(spark, sf_dir) -> DataFrame:
     """The flagship: typed, one row per order."""
     return silver_current(fixtures.bronze(spark, sf_dir), as_of())
@@ -225,7 +225,7 @@ REPORT_SQL = f"""select raw_count, raw_count - quarantine_count as clean_count,
  (select count(*) from valid where {NO_REGION}) as synthetic_region_count)"""
 
 
-@query(layers_sql() + REPORT_SQL)
+@query(layers_sql() + REPORT_SQL, name="refresh_report")
 def refresh_counts(spark, sf_dir) -> DataFrame:
     bronze = fixtures.bronze(spark, sf_dir)
     return refresh_report(refresh_metrics(bronze), silver_current(bronze))
@@ -243,7 +243,7 @@ LAYER_COUNTS_SQL = """select 'bronze' as layer, count(*) as "rows" from bronze
  union all select 'silver', count(*) from silver union all select 'quarantine', count(*) from quarantine"""
 
 
-@query(layers_sql() + LAYER_COUNTS_SQL)
+@query(layers_sql() + LAYER_COUNTS_SQL, name="layer_counts")
 def layer_sizes(spark, sf_dir) -> DataFrame:
     bronze = fixtures.bronze(spark, sf_dir)
     return layer_counts(bronze, silver_current(bronze), quarantine(bronze))
@@ -513,7 +513,8 @@ KEYS_SQL = """select doc_id, concat(
 
 @query(
     f"select * from ({KEYS_SQL.format(documents='documents')})"
-    " where starts_with(landing_key, 'landing/') and ends_with(lower(landing_key), '.zip')"
+    " where starts_with(landing_key, 'landing/') and ends_with(lower(landing_key), '.zip')",
+    name="landing_keys",
 )
 def landing_zip_keys(spark, sf_dir) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -547,7 +548,8 @@ KEY_OF_NOTICE_SQL = """case when json_exists(event, '$.landing_key') then event-
 @query(
     f"""with notices as (select event_id, {NOTICE} as event from (select event_id, {NOTICE_KEY} as key from events)),
  decoded as (select event_id, event, url_decode(replace({KEY_OF_NOTICE_SQL}, '+', ' ')) as landing_key from notices)
- select * from decoded where starts_with(landing_key, 'landing/') and ends_with(lower(landing_key), '.zip')"""
+ select * from decoded where starts_with(landing_key, 'landing/') and ends_with(lower(landing_key), '.zip')""",
+    name="event_keys",
 )
 def notified_keys(spark, sf_dir) -> DataFrame:
     events = fixtures.spread(table(spark, sf_dir, "events"))
