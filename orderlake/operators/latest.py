@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from orderlake.schemas import DATA_COLUMNS
 
-# Rows of one file tie on both reference columns; the raw data columns settle it, so that the
+# Rows of one file tie on time and file; the raw data columns settle it, so that the
 # winner does not depend on how Spark happened to distribute the rows.
 ORDERING = ["_ingested_at", "_source_file"] + [c for c in DATA_COLUMNS if c != "order_id"]
 
