@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from orderlake import queries as registered
 from oracle import connect, in_duckdb, in_spark
 
 
@@ -11,7 +12,7 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", registered.QUERIES)
 def test_query_equals_its_sql(spark, connection, sf_dir, name):
     ours = in_spark(contract.queries()[name](spark, sf_dir))
     theirs = in_duckdb(connection, contract.oracle_sql()[name])
