@@ -34,3 +34,19 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.token_files import token_table
 
     return token_table(spark, table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    from orderlake.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under the unigram base and under the class model."""
+    from orderlake.llm.class_lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
