@@ -10,15 +10,21 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 from orderlake.llm.scratch import worker_cache
 
-# White space to every library involved; other kinds stay inside a chunk and go to the tokenizer.
+# White space to every library involved (Arrow splits at the same); other kinds stay inside a chunk and go
+# to the tokenizer.
 SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
-# Chunks that a worker remembers, about 150 bytes each.
+# A full stop or comma between a letter and white space is cut off: tokenizers of the kind meant here do so, and
+# there are far fewer different words without such marks.
+MARKED = "([a-zß-öø-ÿ])([.,])([ \t\n\r\x0b\x0c])"
+# Chunks that a worker remembers, about 200 bytes each.
 REMEMBERED = 1_000_000
-PROBE = "It's 2 o'clock,  é.\nWORD word. <|x|>\tñandú -- a1b2\n"
+PROBE = "It's 2 o'clock,  é. Ende, fin.\nWORD word. <|x|>\tñandú -- a1b2\n"
 
 
 def read_tokenizer(spark: SparkSession, path: str):
@@ -50,68 +56,58 @@ class Encoder:
                 "ends": ends,
                 "dtype": np.dtype("<u2" if size <= 1 << 16 else "<u4"),
                 "chunks": {},
-                "words": {},
             }
         self.tokenizer, self.dtype = self.state["tokenizer"], self.state["dtype"]
-        self.chunks, self.words = self.state["chunks"], self.state["words"]
-        whole = self._ids([PROBE])[0]
-        self.by_chunk = whole == b"".join(self._ids([c for c in SPACE.split(PROBE) if c]))
+        self.chunks = self.state["chunks"]
+        chunks = [c for c in SPACE.split(re.sub(MARKED, r"\1 \2\3", PROBE.lower())) if c]
+        self.by_chunk = self._ids([PROBE])[0] == b"".join(self._ids(chunks))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Words of letters only, encoded as one text and cut where a piece ends a word."""
-        if not words:
-            return
-        ids = np.array(
-            self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids,
-            self.dtype,
-        )
+    def _learn(self, chunks: list[str]) -> None:
+        """Chunks of letters only are encoded as one text and cut where a piece ends a word."""
+        words = [chunk for chunk in chunks if chunk.isalpha()]
+        rest = [chunk for chunk in chunks if not chunk.isalpha()]
+        ids = np.frombuffer(self._ids([" ".join(words)])[0], self.dtype)
         cuts = np.flatnonzero(self.state["ends"][ids]) + 1
-        if len(cuts) != len(words) or cuts[-1] != len(ids):
-            self.words.update(zip(words, self._ids(words)))
-            return
-        raw, width = ids.tobytes(), self.dtype.itemsize
-        edges = [0, *(cuts * width).tolist()]
-        self.words.update(
-            (word, raw[a:b]) for word, a, b in zip(words, edges, edges[1:])
-        )
-
-    def _learn(self, chunks: set[str]) -> None:
-        plain, odd = [], []
-        for chunk in chunks:
-            word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in ".," else (chunk, "")
-            if not word.isalpha():
-                odd.append(chunk)
-                continue
-            # ASCII capitals lose nothing here; others are left to the tokenizer's own rules.
-            plain.append((chunk, word.lower() if word.isascii() else word, mark))
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        self._learn_words(list({word for _, word, _ in plain} - self.words.keys()))
-        for mark in (".", ","):
-            if mark not in self.chunks:
-                self.chunks[mark] = self._ids([mark])[0]
-        self.chunks.update(
-            (chunk, self.words[word] + self.chunks[mark] if mark else self.words[word])
-            for chunk, word, mark in plain
-        )
-        self.chunks.update(zip(odd, self._ids(odd)))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        if len(cuts) == len(words) and len(ids) == (cuts[-1] if len(cuts) else 0):
+            raw, edges = ids.tobytes(), [0, *(cuts * self.dtype.itemsize).tolist()]
+            self.chunks.update((w, raw[a:b]) for w, a, b in zip(words, edges, edges[1:]))
+        else:
+            rest = chunks
+        self.chunks.update(zip(rest, self._ids(rest)))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each whole text; a null text has none."""
-        if not self.by_chunk:
-            return [np.frombuffer(x, self.dtype) for x in self._ids([t or "" for t in texts])]
-        split = [[c for c in SPACE.split(text) if c] if text else () for text in texts]
+        texts = pc.fill_null(texts, "")
+        # A special token is one only as it is written, and lower-casing could make one.
+        if not self.by_chunk or pc.any(pc.match_substring(texts, "<|")).as_py():
+            return [np.frombuffer(x, self.dtype) for x in self._ids(texts.to_pylist())]
+        lists = pc.ascii_split_whitespace(
+            pc.replace_substring_regex(pc.ascii_lower(texts), MARKED, r"\1 \2\3")
+        )
+        coded = lists.flatten().dictionary_encode()
+        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.chunks) > REMEMBERED:
             self.chunks.clear()
-        fresh = set().union(*split) - self.chunks.keys()
+        self.chunks[""] = b""  # before leading and after trailing white space
+        found = list(map(self.chunks.get, chunks))
+        fresh = [i for i, ids in enumerate(found) if ids is None]
         if fresh:
-            self._learn(fresh)
-        known = self.chunks.__getitem__
-        return [np.frombuffer(b"".join(map(known, chunks)), self.dtype) for chunks in split]
+            self._learn([chunks[i] for i in fresh])
+            for i in fresh:
+                found[i] = self.chunks[chunks[i]]
+        pool = np.frombuffer(b"".join(found), self.dtype)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        ids = pool[np.repeat(starts[codes] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+        words = lists.offsets.to_numpy()
+        cuts = np.concatenate([[0], ends])[words - words[0]].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def ids_crc32(ids: np.ndarray) -> int:
@@ -121,12 +117,21 @@ def ids_crc32(ids: np.ndarray) -> int:
 
 def text_groups(texts: list[str | None], most: int = 4 << 20):
     """Ranges of consecutive texts of at most `most` characters together, a longer text alone."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        length = len(text or "")
+    return _ranges((len(text or "") for text in texts), most)
+
+
+def arrow_groups(texts: pa.Array, most: int = 8 << 20):
+    """The same for an Arrow column, by bytes."""
+    return _ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most)
+
+
+def _ranges(lengths, most: int):
+    start = size = count = 0
+    for i, length in enumerate(lengths):
         if i > start and size + length > most:
             yield start, i
             start, size = i, 0
         size += length
-    if start < len(texts):
-        yield start, len(texts)
+        count = i + 1
+    if start < count:
+        yield start, count

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from orderlake.llm.encode import Encoder, ids_crc32, read_tokenizer, text_groups
+from orderlake.llm.encode import Encoder, ids_crc32, read_tokenizer, arrow_groups
 from orderlake.llm.scratch import drop, stage, struct
 
 CAPACITY = 2048
@@ -43,10 +43,11 @@ def encode_pieces(
     def run(batches):
         encoder = Encoder(content.value)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, last in text_groups(texts):
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            for first, last in arrow_groups(texts):
                 rows = []
-                for key, body in zip(keys[first:last], encoder.encode(texts[first:last])):
+                bodies = encoder.encode(texts.slice(first, last - first))
+                for key, body in zip(keys[first:last], bodies):
                     all_ids = np.append(body, np.array([end_id], body.dtype)).astype("<u4")
                     for number, start in enumerate(range(0, len(all_ids), capacity)):
                         part = all_ids[start : start + capacity]

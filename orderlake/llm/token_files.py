@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from orderlake.llm.encode import Encoder, ids_crc32, read_tokenizer, text_groups
+from orderlake.llm.encode import Encoder, ids_crc32, read_tokenizer, arrow_groups
 from orderlake.llm.scratch import local_uri, new_folder, stage, struct
 
 # Documents of one shard, and how many slots a level offers per key.
@@ -178,11 +178,12 @@ def write_token_files(
         files.create_dir(root)
         out = None
         for batch in batches:
-            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, last in text_groups(texts):
+            ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
+            for first, last in arrow_groups(texts):
                 out = out or files.open_output_stream(f"{draft}.ids")
                 end = np.array([end_id], encoder.dtype).tobytes()
-                for key, body in zip(ids_of[first:last], encoder.encode(texts[first:last])):
+                bodies = encoder.encode(texts.slice(first, last - first))
+                for key, body in zip(ids_of[first:last], bodies):
                     out.write(body.tobytes() + end)
                     keys.append(key)
                     lengths.append(len(body) + 1)
