@@ -3,7 +3,9 @@
 import os
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from orderlake.llm import licenses
 
 QUERIES = {}
 ORACLES = {}
@@ -50,3 +52,22 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.class_lm import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    from orderlake.llm.decontamination import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in documents."""
+    from orderlake.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_license_scan"] = licenses.oracle_sql()
