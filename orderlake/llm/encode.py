@@ -23,7 +23,7 @@ SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 # there are far fewer different words without such marks.
 MARKED = "([a-zß-öø-ÿ])([.,])([ \t\n\r\x0b\x0c])"
 # Chunks that a worker remembers, about 200 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 PROBE = "It's 2 o'clock,  é. Ende, fin.\nWORD word. <|x|>\tñandú -- a1b2\n"
 
 
@@ -120,7 +120,7 @@ def text_groups(texts: list[str | None], most: int = 4 << 20):
     return _ranges((len(text or "") for text in texts), most)
 
 
-def arrow_groups(texts: pa.Array, most: int = 8 << 20):
+def arrow_groups(texts: pa.Array, most: int = 4 << 20):
     """The same for an Arrow column, by bytes."""
     return _ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most)
 

@@ -71,3 +71,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_license_scan"] = licenses.oracle_sql()
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    from orderlake.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
