@@ -79,3 +79,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    from orderlake.llm.language import predict_language
+
+    return predict_language(table(spark, sf_dir, "documents"))
