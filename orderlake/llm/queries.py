@@ -87,3 +87,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.language import predict_language
 
     return predict_language(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    from orderlake.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
