@@ -11,6 +11,7 @@ QUERIES = {}
 ORACLES = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+UNIGRAM = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(function):
@@ -95,3 +96,11 @@ def op7_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.embeddings import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the unigram vocabulary."""
+    from orderlake.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), UNIGRAM)
