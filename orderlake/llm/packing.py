@@ -5,9 +5,10 @@ Documents are encoded, cut into pieces of at most `capacity` ids and packed in t
 * Every group of pieces (a salted hash of their key, so of bounded and even size) is packed by best-fit
   decreasing in one task. A lower bound from dual-feasible functions certifies the group: if it needs
   as many bins as the bound says, no packing of these pieces is better.
-* Groups with a gap between bins and bound keep their full bins and give up the documents of the others.
-  These are dealt anew into fewer groups and packed again, until all is certified, one group is left, or
-  an exchange no longer saves a bin.
+* Groups with a gap between bins and bound keep their full bins and give up the documents of the others; a
+  certified group gives up its poorly filled bins, as the bound rounds up once per group. These documents are
+  dealt anew into fewer groups and packed again, until nothing is left, one group is left, or an exchange no
+  longer saves a bin.
 
 Only lengths and keys are shuffled. A bin is one sequence.
 """
@@ -21,6 +22,7 @@ from orderlake.llm.scratch import drop, stage, struct
 
 CAPACITY = 2048
 GROUP_ROWS = 50_000
+WELL_FILLED = 0.9
 MOST_ROUNDS = 6
 # Denominators k of the functions u_k and thresholds of the large-item functions; any set is valid.
 ROUNDINGS = tuple(range(1, 21))
@@ -136,8 +138,8 @@ def _pack_group(carried: list[str], capacity: int, round_no: int):
         bins, offsets = best_fit_decreasing(lengths, capacity)
         fill = np.bincount(bins, weights=lengths).astype(np.int64)
         gap = len(fill) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        # A certified group keeps all its bins, another one its full bins.
-        settled = (fill[bins] == capacity) | (gap <= 0)
+        # Full bins stay. So do the well filled ones of a certified group; its rest may fit in elsewhere.
+        settled = (fill[bins] == capacity) | ((gap <= 0) & (fill[bins] >= WELL_FILLED * capacity))
         group = table.column("bucket")[0].as_py()
         number = (np.int64(round_no) << 56) | (np.int64(group) << 24) | bins
         columns = [table.column(n) for n in carried]
