@@ -567,14 +567,8 @@ def zip_roundtrip(spark, sf_dir) -> DataFrame:
     """Sales rows -> ZIPs -> checksums, headers, lines -> the same rows."""
     lake = Lake(scratch_dir(spark))
     fixtures.land_sales(spark, sf_dir, lake.root)
-    files = scan_landing(spark, lake)
-    manifest = write_manifest(files, lake, "once")
-    totals = manifest.agg(
-        F.count("*").alias("usable"), F.max("member_bytes").alias("largest_member"),
-        F.sum("member_bytes").alias("member_bytes"),
-    ).first().asDict()
-    width = widest_header(manifest)
-    rows = bronze_rows(files, match_headers(manifest, width), totals, as_of(), width)
+    manifest = write_manifest(scan_landing(spark, lake), lake, "once")
+    rows = bronze_rows(match_headers(manifest, widest_header(manifest)), as_of())
     return rows.select(*schemas.DATA_COLUMNS, "_source_file")
 
 
@@ -583,11 +577,11 @@ def stream_ingest(spark, sf_dir) -> DataFrame:
     """Two runs of the stream; before the second every ZIP lands again under another name, and
     must not be loaded again."""
     root = scratch_dir(spark)
-    lake, checkpoint = Lake(f"{root}/lake"), f"{root}/checkpoint"
+    lake = Lake(f"{root}/lake")
     fixtures.land_sales(spark, sf_dir, lake.root, f"{root}/copies")
-    run_ingest(spark, lake, checkpoint, archive=False)
+    run_ingest(spark, lake, archive=False)
     fixtures.land_copies(f"{root}/copies", lake)
-    run_ingest(spark, lake, checkpoint, archive=False)
+    run_ingest(spark, lake, archive=False)
     return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
 
 

@@ -103,6 +103,7 @@ MANIFEST_SCHEMA = _struct(
     ("csv_members", T.IntegerType()),
     ("member_bytes", T.LongType()),
     ("header", T.StringType()),
+    ("most_fields", T.IntegerType()),
     ("error", T.StringType()),
 )
 

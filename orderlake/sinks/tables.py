@@ -32,6 +32,11 @@ def overwrite(
     writer.parquet(path)
 
 
+def delete_folder(spark, uri: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:
     """Add one batch of rows. A batch written again replaces its own folder only.
 

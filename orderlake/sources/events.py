@@ -5,9 +5,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderlake.functions.paths import decode_key, is_landing_zip
 
 _EVENT = (
-    "landing_key STRING, "
+    "landing_key STRING, `detail-type` STRING, source STRING, "
     "detail STRUCT<bucket: STRUCT<name: STRING>, object: STRUCT<key: STRING>>, "
-    "Records ARRAY<STRUCT<eventSource: STRING, s3: STRUCT<object: STRUCT<key: STRING>>>>"
+    "Records ARRAY<STRUCT<eventSource: STRING, eventName: STRING, s3: STRUCT<object: STRUCT<key: STRING>>>>"
 )
 
 
@@ -15,8 +15,13 @@ def event_key(text: Column, parsed: Column, bucket: str) -> Column:
     """The key as it stands in the event, NULL if none of the three shapes gives one.
 
     A `landing_key` field ends the search even when it is null or empty. The bucket is checked in
-    the `detail` shape only, and only the first of `Records` counts.
+    the `detail` shape only, and only the first of `Records` counts. An event that says what happened must be
+    about a created object - moving a file out of the landing folder makes events too - and one that names
+    its source must come from the object store; events without these fields are taken as they are.
     """
+    created = F.coalesce(parsed["detail-type"] == "Object Created", F.lit(True)) & F.coalesce(
+        parsed["source"] == "aws.s3", F.lit(True)
+    )
     detail_key = parsed["detail"]["object"]["key"]
     record = F.get(parsed["Records"], 0)
     return (
@@ -24,10 +29,14 @@ def event_key(text: Column, parsed: Column, bucket: str) -> Column:
             F.array_contains(F.json_object_keys(text), "landing_key"), parsed["landing_key"]
         )
         .when(
-            (parsed["detail"]["bucket"]["name"] == bucket) & (detail_key != ""),
+            created & (parsed["detail"]["bucket"]["name"] == bucket) & (detail_key != ""),
             detail_key,
         )
-        .when(record["eventSource"] == "aws:s3", record["s3"]["object"]["key"])
+        .when(
+            (record["eventSource"] == "aws:s3")
+            & F.coalesce(record["eventName"].startswith("ObjectCreated"), F.lit(True)),
+            record["s3"]["object"]["key"],
+        )
     )
 
 

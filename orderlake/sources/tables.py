@@ -24,9 +24,13 @@ def read_table(
 
 
 def read_bronze(
-    spark: SparkSession, lake: Lake, keyed: bool | None = None, ingest_batch: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    keyed: bool | None = None,
+    ingest_batch: str | None = None,
+    with_batch: bool = False,
 ) -> DataFrame:
-    """The 17 bronze columns. `keyed` and `ingest_batch` choose folders, not rows: the table is
+    """The 17 bronze columns, and the batch if asked for. `keyed` and `ingest_batch` choose folders, not rows: the table is
     stored apart for rows with and without an order key."""
     bronze = read_table(
         spark, lake.bronze, schemas.BRONZE_SCHEMA, "ingest_batch STRING, keyed BOOLEAN"
@@ -35,7 +39,7 @@ def read_bronze(
         bronze = bronze.filter(F.col("keyed") == keyed)
     if ingest_batch is not None:
         bronze = bronze.filter(F.col("ingest_batch") == ingest_batch)
-    return bronze.select(*schemas.BRONZE_SCHEMA.names)
+    return bronze.select(*schemas.BRONZE_SCHEMA.names, *["ingest_batch"] * with_batch)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:

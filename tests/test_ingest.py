@@ -14,7 +14,13 @@ from orderlake.plans.silver import reconciliation, refresh_reports
 from orderlake.schemas import HEADER_MAP
 from orderlake.sources.landing import scan_landing
 from orderlake.sources.tables import read_bronze, read_ledger, read_quarantine, read_silver
-from orderlake.streaming.ingest import run_ingest, start_ingest, stream_landing_keys
+from orderlake.sources.csv import match_headers
+from orderlake.streaming.ingest import (
+    run_ingest,
+    start_event_ingest,
+    start_ingest,
+    stream_landing_keys,
+)
 from zips import csv, line, write_zip
 
 
@@ -126,19 +132,6 @@ def test_a_batch_cut_off_at_any_step_is_finished_by_its_replay(
     assert set(outcomes(run(spark, lake, "b1")).values()) == {"SKIPPED"}
 
 
-def test_a_large_member_is_spread_before_parsing(spark, lake, monkeypatch):
-    write_zip(lake.root, "landing/a.zip", csv(*[line(i) for i in range(2000)]))
-    monkeypatch.setattr(ingest, "TARGET_FILE_BYTES", 20_000)
-    assert run(spark, lake, "b1")["a.zip"].row_count == 2000
-    assert orders(spark, lake) == sorted(map(str, range(2000)))
-
-
-def test_more_files_than_may_be_broadcast(spark, lake, monkeypatch):
-    for i in range(5):
-        write_zip(lake.root, f"landing/{i}.zip", csv(line(i)))
-    monkeypatch.setattr(ingest, "MAX_BROADCAST_FILES", 2)
-    assert set(outcomes(run(spark, lake, "b1")).values()) == {"SUCCESS"}
-    assert orders(spark, lake) == list("01234")
 
 
 def test_empty_landing_folder(spark, lake):
@@ -169,6 +162,10 @@ def stream(spark, lake, **options):
     return query
 
 
+def zips_below(folder):
+    return {os.path.relpath(path, folder) for path in glob.glob(f"{folder}/**/*.zip", recursive=True)}
+
+
 def test_stream_restarts_and_archives(spark, lake):
     write_zip(lake.root, "landing/ingest_date=2026-01-01/a.zip", csv(line(1)))
     write_zip(lake.root, "landing/b.zip", csv(line(2)))
@@ -184,11 +181,9 @@ def test_stream_restarts_and_archives(spark, lake):
     assert orders(spark, lake) == ["1", "2", "3", "4"]
     found = {row.landing_key: row.outcome for row in load_reports(spark, lake).collect()}
     assert found["landing/copy.zip"] == "SKIPPED" and found["landing/d.zip"] == "SUCCESS"
-    # Spark moves a batch's files when a later batch is committed; duplicates are moved too.
-    left = {os.path.basename(path) for path in glob.glob(f"{lake.landing}/**/*.zip", recursive=True)}
-    moved = {os.path.basename(path) for path in glob.glob(f"{lake.archive}/**/*.zip", recursive=True)}
-    assert moved >= {"a.zip", "b.zip"} and not moved & left and moved | left == {
-        "a.zip", "b.zip", "c.zip", "copy.zip", "d.zip",
+    assert zips_below(lake.landing) == set()
+    assert zips_below(lake.archive) == {
+        row.archive_key.removeprefix("archive/") for row in load_reports(spark, lake).collect()
     }
 
 
@@ -202,9 +197,9 @@ def test_a_run_of_many_batches_refreshes_once(spark, lake, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(ingest, "refresh", crash)
         with pytest.raises(RuntimeError, match="lost"):
-            run_ingest(spark, lake, f"{lake.root}/checkpoint", max_files=1)
+            run_ingest(spark, lake, max_files=1)
     assert set(states(spark, lake).values()) == {"bronze_loaded"}
-    run_ingest(spark, lake, f"{lake.root}/checkpoint")
+    run_ingest(spark, lake)
     assert set(states(spark, lake).values()) == {"completed"}
     assert refresh_reports(spark, lake).count() == 1 and read_silver(spark, lake).count() == 3
     assert ingest.finish_loaded(spark, lake) is False
@@ -282,3 +277,117 @@ def test_checksum_column_is_the_files(spark, lake):
     run(spark, lake, "b1")
     expected = hashlib.sha256(open(path, "rb").read()).hexdigest()
     assert read_bronze(spark, lake).select(F.collect_set("_checksum_sha256")).first()[0] == [expected]
+
+
+def test_hidden_names_are_landed_files(spark, lake):
+    for i, key in enumerate(("a.zip", "_b.zip", ".c.zip", "_in/d.zip", "x/.y/e.ZIP")):
+        write_zip(lake.root, f"landing/{key}", csv(line(i)))
+    run_ingest(spark, lake)
+    assert orders(spark, lake) == ["0", "1", "2", "3", "4"]
+    assert not any(names for _, _, names in os.walk(lake.landing))
+
+
+def test_replaced_file_is_new_work(spark, lake):
+    for archive in (True, False):
+        for i in range(2):
+            write_zip(lake.root, "landing/same.zip", csv(line(10 * archive + i)))
+            run_ingest(spark, lake, archive=archive)
+    assert orders(spark, lake) == ["0", "1", "10", "11"]
+
+
+def test_archive_is_where_the_ledger_says(spark, lake):
+    write_zip(lake.root, "landing/ingest_date=2026-01-02/a.zip", csv(line(1)))
+    write_zip(lake.root, "landing/copy.zip", csv(line(1)))
+    write_zip(lake.root, "landing/bad.zip", {"x.txt": "no csv"})
+    run_ingest(spark, lake)
+    items = L.current_state(read_ledger(spark, lake)).filter("status = 'completed'").collect()
+    (item,) = items
+    assert os.path.exists(f"{lake.root}/{item.archive_key}")
+    assert len(zips_below(lake.archive)) == 2 and zips_below(lake.landing) == {"bad.zip"}
+
+
+def damaged(path, at):
+    data = bytearray(open(path, "rb").read())
+    start = int(len(data) * at)
+    data[start : start + 64] = bytes(64)
+    open(path, "wb").write(data)
+
+
+def test_bad_files_do_not_stop_a_batch(spark, lake):
+    import random
+    import zipfile
+
+    noise = [csv(*[line(1000 * k + i, country=str(random.random())) for i in range(900)]) for k in (1, 2)]
+    damaged(write_zip(lake.root, "landing/middle.zip", noise[0]), 0.5)
+    cut = write_zip(lake.root, "landing/cut.zip", noise[1])
+    data = open(cut, "rb").read()
+    open(cut, "wb").write(data[: len(data) // 2])
+    write_zip(lake.root, "landing/header.zip", ",".join(f"c{i}" for i in range(25_000)) + "\n1,2\n")
+    write_zip(lake.root, "landing/wide.zip", csv(line(7) + "," * 25_000))
+    lzma_path = f"{lake.root}/landing/lzma.zip"
+    with zipfile.ZipFile(lzma_path, "w", zipfile.ZIP_LZMA) as archive:
+        archive.writestr("a.csv", noise[0])
+    damaged(lzma_path, 0.5)
+    write_zip(lake.root, "landing/good.zip", csv(line(8)))
+    run_ingest(spark, lake)
+    found = {row.landing_key.removeprefix("landing/"): row for row in load_reports(spark, lake).collect()}
+    assert {k: r.outcome for k, r in found.items()} == {
+        "middle.zip": "FAILURE", "cut.zip": "FAILURE", "header.zip": "FAILURE", "lzma.zip": "FAILURE",
+        "wide.zip": "SUCCESS", "good.zip": "SUCCESS",
+    }
+    assert orders(spark, lake) == ["7", "8"]
+    assert zips_below(lake.landing) == {"middle.zip", "cut.zip", "header.zip", "lzma.zip"}
+
+
+def test_crash_between_bronze_and_ledger_and_a_new_stream(spark, lake, monkeypatch):
+    """What the cut-off batch wrote is undone, under whatever name the files are loaded again."""
+    write_zip(lake.root, "landing/a.zip", csv(line(1)))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "load_metrics", lambda rows: crash() if "_checksum_sha256" in rows.columns else rows)
+        with pytest.raises(Exception, match="lost"):
+            stream(spark, lake)
+    assert read_bronze(spark, lake).count() == 1 and set(states(spark, lake).values()) == {"processing"}
+    start_ingest(spark, lake, f"{lake.root}/other").awaitTermination()
+    assert read_bronze(spark, lake).count() == 1 and set(states(spark, lake).values()) == {"completed"}
+
+
+def test_skipped_files_are_not_opened_again(spark, lake):
+    write_zip(lake.root, "landing/a.zip", csv(line(1)))
+    run_ingest(spark, lake, archive=False)
+    write_zip(lake.root, "landing/b.zip", csv(line(2)))
+    manifest = ingest.write_manifest(scan_landing(spark, lake), lake, "later")
+    planned = L.plan_ingest(manifest, ingest.known_state(spark, lake, manifest)).filter("action = 'PROCESS'")
+    os.remove(f"{lake.root}/landing/a.zip")
+    chosen = match_headers(planned, ingest.widest_header(planned))
+    assert [r.order_id for r in ingest.bronze_rows(chosen, F.current_timestamp()).collect()] == ["2"]
+
+
+def test_events_start_ingestion(spark, lake, tmp_path):
+    import json
+
+    write_zip(lake.root, "landing/a b.zip", csv(line(1)))
+    write_zip(lake.root, "landing/deleted.zip", csv(line(2)))
+    write_zip(lake.root, "landing/other.zip", csv(line(3)))
+
+    def notice(key, kind="Object Created", source="aws.s3"):
+        detail = {"bucket": {"name": "B"}, "object": {"key": key}}
+        return (json.dumps({"detail-type": kind, "source": source, "detail": detail}),)
+
+    folder = str(tmp_path / "events")
+    told = [
+        notice("landing/a+b.zip"), notice("landing/a+b.zip"), notice("landing/deleted.zip", "Object Deleted"),
+        notice("landing/other.zip", source="elsewhere"), notice("landing/gone.zip"),
+    ]
+    spark.createDataFrame(told, "event STRING").write.parquet(folder)
+    for order in (1, 4):
+        events = spark.readStream.schema("event STRING").parquet(folder)
+        start_event_ingest(events, lake, "B", str(tmp_path / "c")).awaitTermination()
+        assert str(order) in orders(spark, lake)
+        # The same key again, with new bytes.
+        write_zip(lake.root, "landing/a b.zip", csv(line(4)))
+        spark.createDataFrame([notice("landing/a+b.zip")], "event STRING").write.mode("append").parquet(folder)
+    assert orders(spark, lake) == ["1", "4"]

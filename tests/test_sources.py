@@ -16,8 +16,8 @@ from zips import HEADER, csv, line, write_zip
 
 
 def lines_of(spark, lake):
-    rows = extract_lines(scan_landing(spark, lake).select("path", "content")).collect()
-    return sorted((row.path.rsplit("/", 1)[1], row.member, row.line_no, row.line) for row in rows)
+    rows = extract_lines(scan_landing(spark, lake).select("path")).collect()
+    return sorted((row.path.rsplit("/", 1)[1], row.line_no, row.line) for row in rows)
 
 
 def test_landing_scan_takes_zips_of_any_case_at_any_depth(spark, lake):
@@ -34,8 +34,7 @@ def test_member_choice(spark, lake):
     write_zip(lake.root, "landing/mac.zip", {"__MACOSX/x.csv": "bad", "d/Sales.CSV": "h\n1"})
     write_zip(lake.root, "landing/two.zip", {"readme.txt": "no", "b.csv": "h\n2", "a.csv": "h\n3"})
     assert lines_of(spark, lake) == [
-        ("mac.zip", "d/Sales.CSV", 0, "h"), ("mac.zip", "d/Sales.CSV", 1, "1"),
-        ("two.zip", "b.csv", 0, "h"), ("two.zip", "b.csv", 1, "2"),
+        ("mac.zip", 0, "h"), ("mac.zip", 1, "1"), ("two.zip", 0, "h"), ("two.zip", 1, "2"),
     ]
 
 
@@ -49,7 +48,7 @@ def test_lines_end_like_in_sparks_reader(spark, lake, tmp_path):
     text = b"\xef\xbb\xbfh1,h2\r\n\r\n   \n1,a\rb,\xff\n\x0b\n\nlast,\xc3\xa9"
     write_zip(lake.root, "landing/t.zip", text)
     (tmp_path / "t.csv").write_bytes(text)
-    ours = [row[3] for row in lines_of(spark, lake)]
+    ours = [row[2] for row in lines_of(spark, lake)]
     assert ours == ["h1,h2", "1,a", "b,\ufffd", "last,\u00e9"]
     theirs = read_csv(spark, str(tmp_path / "t.csv"))
     assert theirs.columns == ["h1", "h2"]
@@ -60,8 +59,8 @@ def test_long_members_are_cut_at_line_ends(spark, lake):
     wanted = [f"{i},{'x' * (i % 977)}" for i in range(5000)]
     write_zip(lake.root, "landing/long.zip", "\r\n".join(wanted))
     found = lines_of(spark, lake)
-    assert [row[3] for row in sorted(found, key=lambda row: row[2])] == wanted
-    assert sorted(row[2] for row in found) == list(range(5000))
+    assert [row[2] for row in sorted(found, key=lambda row: row[1])] == wanted
+    assert sorted(row[1] for row in found) == list(range(5000))
 
 
 def test_headers_of_unusable_zips_are_reported_not_raised(spark, lake):
@@ -70,7 +69,7 @@ def test_headers_of_unusable_zips_are_reported_not_raised(spark, lake):
     write_zip(lake.root, "landing/good.zip", {"a.csv": "\n h \n1\n", "b.csv": "x"})
     (tmp := open(f"{lake.root}/landing/broken.zip", "wb")).write(b"PK no zip")
     tmp.close()
-    rows = read_headers(scan_landing(spark, lake).select("path", "content")).collect()
+    rows = read_headers(scan_landing(spark, lake).select("path")).collect()
     found = {row.path.rsplit("/", 1)[1]: row for row in rows}
     assert found["none.zip"].error == "no CSV found inside the ZIP"
     assert found["broken.zip"].error.startswith("unreadable ZIP")
