@@ -1,12 +1,15 @@
 """Toxicity by the nearest labelled examples.
 
-Examples and texts are TF-IDF vectors over the terms that tell the classes apart - words, and beginnings of longer
-words, which carry over to forms not seen before. A term that occurs twice, and one that occurs three times, is a
-term of its own besides, as a cosine does not tell one mention from many. A text is scored by its `NEIGHBOURS` nearest examples by exact cosine. The index of examples is inverted and block-max: examples lie in
-blocks, similar ones together; for each word and block it holds the largest weight, so the bounds of all blocks
-are one sum, and only blocks whose bound beats the worst neighbour so far are looked into. The neighbours' votes,
-weighted by closeness and by how many rows an example stands for, are turned into probabilities by an isotonic fit
-on the examples' own votes without themselves. The neighbours are returned as evidence.
+Examples and texts are TF-IDF vectors over the terms that speak for the toxic class: words, and beginnings of
+longer words, which carry over to forms not seen before. A term that occurs twice, and one that occurs three times,
+is a term of its own besides, as a cosine does not tell one mention from many.
+
+A text is scored by its `NEIGHBOURS` nearest examples by exact cosine. The index of examples is inverted and
+block-max: examples lie in blocks, similar ones together; for each term and block it holds the largest weight, so
+the bounds of all blocks are one sum, and only blocks whose bound beats the worst neighbour so far are looked into.
+The neighbours' votes, weighted by closeness and by how many rows an example stands for and joined by a small vote for
+the rate of texts without any term, are turned into probabilities by an isotonic fit on the examples' own votes
+without themselves. The neighbours are returned as evidence.
 
 Fitted on a sample of at most `EXAMPLES` labelled rows of each class, taken by a hash of their id. A text is read
 whole; nothing but its words counts.
@@ -20,11 +23,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from orderlake.llm.encode import arrow_groups
 from orderlake.llm.scratch import drop, stage, struct
 
-EXAMPLES = 10_000
+EXAMPLES = 2_500
 MOST_TERMS = 8192
 BEGINNING = 5
 NEIGHBOURS = 15
 BLOCK = 64
+CHUNK = 16
 THRESHOLD = 0.7
 EVIDENCE = 3
 REMEMBERED = 100_000
@@ -110,12 +114,16 @@ def chosen_examples(docs: DataFrame, labels: DataFrame, most: int) -> tuple[Data
         return docs.select("doc_id", "text", F.lit(0).alias("toxic")).limit(0), {}
     # At most twice `most` rows of two numbers.
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    return texts, {label: n / min(n, most) for label, n in sizes.items()}
+    # Copies of a text would make every word of it a telling one.
+    once = texts.groupBy(F.sha1(F.coalesce("text", F.lit("")).cast("binary")).alias("key"), "toxic").agg(
+        F.min(F.struct("doc_id", "text")).alias("x")
+    )
+    return once.select("x.doc_id", "x.text", "toxic"), {label: n / min(n, most) for label, n in sizes.items()}
 
 
 def telling_terms(examples: DataFrame, weights: dict[int, float]) -> list[tuple[str, float]]:
-    """Terms whose presence differs between the classes beyond chance, at most `MOST_TERMS` of them, each
-    with its inverse document frequency.
+    """Terms that toxic examples hold more often, beyond chance, at most `MOST_TERMS` of them, each with its
+    inverse document frequency.
 
     Kept are log-likelihood ratios that not even one of so many terms would reach by chance.
     """
@@ -171,7 +179,7 @@ def telling_terms(examples: DataFrame, weights: dict[int, float]) -> list[tuple[
     enough = 2 * float(np.log(max(1, per_term.count()))) + 2
     chosen = (
         per_term.withColumn("ratio", ratio)
-        .filter(F.col("ratio") >= enough)
+        .filter((F.col("ratio") >= enough) & (F.col("toxic") * n0 > F.col("clean") * n1))
         .orderBy(F.desc("ratio"), "term")
         .limit(MOST_TERMS)
         .collect()
@@ -199,7 +207,8 @@ class BlockMaxIndex:
         self.indptr, self.terms, self.weights = indptr, terms, weights
         self.n, self.n_terms = len(indptr) - 1, n_terms
         self.blocks = -(-self.n // BLOCK)
-        rows = np.repeat(np.arange(self.n), np.diff(indptr))
+        rows = self.rows = np.repeat(np.arange(self.n), np.diff(indptr))
+        self.edges = indptr[np.minimum(np.arange(self.blocks + 1) * BLOCK, self.n)]
         cell = terms * np.int64(max(1, self.blocks)) + rows // BLOCK
         order = np.lexsort((-weights, cell))
         cells, first = np.unique(cell[order], return_index=True)
@@ -217,31 +226,30 @@ class BlockMaxIndex:
         query = np.zeros(self.n_terms)
         query[terms] = weights
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        for low in range(0, len(order), 4):
-            some = order[low : low + 4]
+        for low in range(0, len(order), CHUNK):
+            some = order[low : low + CHUNK]
             # Rounding must not shut out a block of equal score.
             if len(ids) == k and bound[some[0]] < scores[-1] - 1e-9:
                 break
-            for block in some.tolist():
-                first, last = block * BLOCK, min((block + 1) * BLOCK, self.n)
-                a, b = self.indptr[first], self.indptr[last]
-                sizes = np.diff(self.indptr[first : last + 1])
-                local = np.bincount(
-                    np.repeat(np.arange(last - first), sizes),
-                    query[self.terms[a:b]] * self.weights[a:b],
-                    last - first,
-                )
-                ids = np.concatenate([ids, np.arange(first, last)[local > 0]])
-                scores = np.concatenate([scores, local[local > 0]])
+            parts = [slice(self.edges[b], self.edges[b + 1]) for b in some.tolist()]
+            value = np.concatenate([query[self.terms[p]] * self.weights[p] for p in parts])
+            shift = np.repeat((np.arange(len(some)) - some) * BLOCK, [p.stop - p.start for p in parts])
+            local = np.bincount(
+                np.concatenate([self.rows[p] for p in parts]) + shift, value, len(some) * BLOCK
+            )
+            own = (some[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+            ids = np.concatenate([ids, own[local > 0]])
+            scores = np.concatenate([scores, local[local > 0]])
             best = np.lexsort((ids, -np.round(scores, 9)))[:k]
             ids, scores = ids[best], scores[best]
         return ids, scores
 
 
-def vote(ids, scores, labels, weights) -> float:
-    """Share of toxic examples among the neighbours, close and weighty ones counting more."""
-    share = weights[ids] / (1.05 - np.minimum(scores, 1))
-    return float((share * labels[ids]).sum() / share.sum())
+def vote(ids, scores, labels, weights, rate: float) -> float:
+    """Share of toxic examples among the neighbours, close and weighty ones counting more, far ones hardly
+    more than the rate of texts that have no neighbour."""
+    share = weights[ids] * scores / (1.05 - np.minimum(scores, 1))
+    return float(((share * labels[ids]).sum() + rate) / (share.sum() + 1))
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray):
@@ -325,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> dict:
         ids, scores = memo[key]
         others = ids != i
         others[NEIGHBOURS:] &= others[:NEIGHBOURS].sum() < NEIGHBOURS
-        votes.append(vote(ids[others], scores[others], y, weight) if others.any() else model["no_term"])
+        votes.append(vote(ids[others], scores[others], y, weight, model["no_term"]) if others.any() else model["no_term"])
     model["votes"], model["chances"] = (
         isotonic(np.array(votes), y[asked], weight[asked]) if len(asked) else (np.zeros(1), np.full(1, model["no_term"]))
     )
@@ -346,7 +354,7 @@ def scorer(model: dict):
             ids, scores = index.nearest(terms, weights, NEIGHBOURS)
             chance = model["no_term"]
             if len(ids):
-                share = vote(ids, scores, model["labels"], model["class_weight"])
+                share = vote(ids, scores, model["labels"], model["class_weight"], model["no_term"])
                 chance = float(np.interp(share, model["votes"], model["chances"]))
             memo[key] = chance, model["ids"][ids[:EVIDENCE]].tolist(), [names[t] for t in terms.tolist()]
         return memo[key]
