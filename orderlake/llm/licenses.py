@@ -67,7 +67,6 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "all-rights-reserved": ["All rights reserved."],
 }
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 # All of ASCII but letters, digits and the end of a line.
@@ -76,23 +75,30 @@ MARKS = "[\\x00-\\x09\\x0b-/:-@\\[-`{-\\x7f]+"
 
 def clean(text: Column) -> Column:
     """Lower-case words (ASCII letters, digits, whatever is beyond ASCII) with single spaces; lines stay."""
-    return F.regexp_replace(F.translate(text, UPPER, LOWER), MARKS, " ")
+    return F.regexp_replace(F.lower(text), MARKS, " ")
 
 
 def on_one_line(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[ \n]+", " "))
 
 
-def count(text: Column, of: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, of, ""))
+def count(text: Column, *of: str) -> Column:
+    rest = text
+    for char in of:
+        rest = F.replace(rest, F.lit(char), F.lit(""))
+    return F.length(text) - F.length(rest)
 
 
-def bigrams(line: Column) -> Column:
-    """The bag of adjacent word pairs as a set: repeats are numbered."""
+def pairs_of(line: Column) -> Column:
+    """Adjacent word pairs, in order."""
     words = F.split(line, " ")
-    pairs = F.transform(
+    return F.transform(
         F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1))
     )
+
+
+def numbered(pairs: Column) -> Column:
+    """A bag of pairs as a set: each repeat carries its number."""
     return F.transform(
         pairs,
         lambda pair, i: F.concat_ws(
@@ -110,7 +116,9 @@ def matchable(templates: DataFrame, threshold: float) -> DataFrame:
     """Each template once per bigram count `n` that a matching segment can have."""
     line = on_one_line(clean(F.col("template")))
     sized = templates.select("license", line.alias("line")).withColumn("m", count(F.col("line"), " "))
-    wanted = sized.filter("m > 0").withColumn("wanted", bigrams(F.col("line")))
+    wanted = sized.filter("m > 0").select(
+        "license", "m", pairs_of(F.col("line")).alias("pairs"), numbered(pairs_of(F.col("line"))).alias("wanted")
+    )
     low = F.ceil(F.col("m") * F.lit(threshold) / F.lit(2 - threshold) - 1e-9)
     high = F.floor(F.col("m") * F.lit(2 - threshold) / F.lit(threshold) + 1e-9)
     return wanted.withColumn("n", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
@@ -130,21 +138,36 @@ def segments(docs: DataFrame, high: int) -> DataFrame:
 
     # Between two words of a block stand three separators at most.
     def several_lines(entry):
-        trimmed = F.regexp_replace(entry["line"], "^[ \n]+|[ \n]+$", "")
-        return F.contains(trimmed, F.lit("\n")) & (count(trimmed, " \n") <= 3 * high)
+        return F.contains(F.trim(entry["line"], F.lit(" \n")), F.lit("\n")) & (
+            count(entry["line"], " ", "\n") <= 3 * high + 6
+        )
 
     def one_line(entry):
         return count(F.trim(entry["line"]), " ").between(1, high)
 
-    cleaned = docs.select("doc_id", clean(F.col("text")).alias("cleaned"))
-    split = cleaned.withColumn("blocks", F.split("cleaned", "\n *\n[ \n]*"))
-    lines = F.filter(entries("line", F.split("cleaned", "\n")), one_line)
-    blocks = F.filter(entries("block", F.col("blocks")), several_lines)
-    whole = F.when(F.size("blocks") > 1, entries("text", F.array("cleaned"))).otherwise(
-        F.array().cast("array<struct<kind:string,position:int,line:string>>")
-    )
-    return split.select("doc_id", F.explode(F.concat(lines, blocks, whole)).alias("s")).select(
-        "doc_id", "s.kind", "s.position", on_one_line(F.col("s.line")).alias("line")
+    def whole(text, blocks):
+        return F.when(F.size(blocks) > 1, entries("text", F.array(text))).otherwise(
+            F.array().cast("array<struct<kind:string,position:int,line:string>>")
+        )
+
+    def all_of(text):
+        blocks = F.split(text, "\n *\n[ \n]*")
+        chosen = F.concat(
+            F.filter(entries("line", F.split(text, "\n")), one_line),
+            F.filter(entries("block", blocks), several_lines),
+            whole(text, blocks),
+        )
+        return F.transform(
+            chosen,
+            lambda s: F.struct(s["kind"].alias("kind"), s["position"].alias("position"), on_one_line(s["line"]).alias("line")),
+        )
+
+    # A variable of a lambda is worked out once, where an alias would be copied into each of its uses.
+    found = F.flatten(F.transform(F.array(clean(F.col("text"))), all_of))
+    return (
+        docs.filter(F.col("text").isNotNull())
+        .select("doc_id", F.explode(found).alias("s"))
+        .select("doc_id", "s.kind", "s.position", "s.line")
     )
 
 
@@ -164,26 +187,28 @@ def scan_licenses(
         raise ValueError(f"over {MOST_TEMPLATES} licence templates")
     known = matchable(templates, threshold)
     high = known.agg(F.max("n").alias("n")).first()["n"] or 0
-    counted = (
-        segments(docs, high)
-        .withColumn("n", count(F.col("line"), " "))
-        .filter(F.col("n").between(1, high))
-        .withColumn("found", bigrams(F.col("line")))
-    )
+    sized = segments(docs, high).withColumn("n", count(F.col("line"), " "))
     # A handful of templates per count: a segment meets them as one array, so each segment is one row.
     lists = known.groupBy("n").agg(
-        F.collect_list(F.struct("license", "wanted", "m")).alias("candidates")
+        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("any_pair"),
+        F.collect_list(F.struct("license", "wanted", "m")).alias("candidates"),
     )
+    # Nearly all segments share no pair with any template of fitting size.
+    touched = sized.join(lists, "n").filter(F.arrays_overlap(pairs_of(F.col("line")), F.col("any_pair")))
 
-    def score(candidate):
-        shared = F.size(F.array_intersect(F.col("found"), candidate["wanted"]))
-        return F.struct(
-            (-2.0 * shared / (F.col("n") + candidate["m"])).alias("minus"), candidate["license"].alias("license")
-        )
+    def best_of(found):
+        def score(candidate):
+            shared = F.size(F.array_intersect(found, candidate["wanted"]))
+            return F.struct(
+                (-2.0 * shared / (F.col("n") + candidate["m"])).alias("minus"),
+                candidate["license"].alias("license"),
+            )
+
+        return F.array_min(F.transform("candidates", score))
 
+    bags = F.transform(F.transform(F.array(pairs_of(F.col("line"))), numbered), best_of)
     return (
-        counted.join(lists, "n")
-        .withColumn("best", F.array_min(F.transform("candidates", score)))
+        touched.select("doc_id", "kind", "position", F.explode(bags).alias("best"))
         .filter(-F.col("best.minus") >= threshold)
         .select("doc_id", "kind", "position", "best.license", (-F.col("best.minus")).alias("dice"))
     )
@@ -201,16 +226,16 @@ def oracle_sql(threshold: float = THRESHOLD) -> str:
     marks = "[\\x00-\\x09\\x0b-/:-@\\[-`{-\\x7f]+"
 
     def clean_sql(column):
-        return f"regexp_replace(translate({column}, '{UPPER}', '{LOWER}'), '{marks}', ' ', 'g')"
+        return f"regexp_replace(lower({column}), '{marks}', ' ', 'g')"
 
     def one_line(text):
         return f"trim(regexp_replace({text}, '[ \n]+', ' ', 'g'), ' ')"
 
     pairs = "[w[i] || ' ' || w[i + 1] for i in range(1, len(w))]"
-    numbered = "[p[i] || ' ' || len([q for q in p[1:i - 1] if q = p[i]]) for i in range(1, len(p) + 1)]"
+    bag = "[p[i] || ' ' || len([q for q in p[1:i - 1] if q = p[i]]) for i in range(1, len(p) + 1)]"
     return f"""
     with templates(license, template) as (values {rows}),
-    wanted as (select license, {numbered} as wanted from (select license, {pairs} as p from (
+    wanted as (select license, {bag} as wanted from (select license, {pairs} as p from (
         select license, string_split({one_line(clean_sql('template'))}, ' ') as w from templates
     ) where len(w) > 1)),
     cleaned as (select row_number() over () as row, doc_id, {clean_sql('text')} as t
@@ -225,7 +250,7 @@ def oracle_sql(threshold: float = THRESHOLD) -> str:
         where contains(trim(block, ' \n'), '\n')
         union all select distinct row, doc_id, 'text', 0, t from blocks join cleaned using (row, doc_id) where n > 1),
     words as (select row, doc_id, kind, position, string_split({one_line('line')}, ' ') as w from segments),
-    found as (select row, doc_id, kind, position, {numbered} as found from (
+    found as (select row, doc_id, kind, position, {bag} as found from (
         select row, doc_id, kind, position, {pairs} as p from words where len(w) > 1 and len(w) < 2000)),
     scored as (select row, doc_id, kind, position, license,
                       2.0::double * len(list_intersect(found, wanted)) / (len(found) + len(wanted)) as dice
