@@ -170,6 +170,24 @@ def land_sales(spark: SparkSession, sf_dir: str, root: str, copies: str | None =
     return write_zips(to_csv_lines(rows), root, copies).count()
 
 
+def damage_zips(keys: DataFrame, root: str) -> int:
+    """Overwrite 64 bytes in the data of each ZIP (`landing_key`), in tasks; returns their number."""
+
+    def run(batches):
+        for batch in batches:
+            for key in batch.column(0).to_pylist():
+                files, path = fs.FileSystem.from_uri(f"{root}/{key}")
+                with files.open_input_file(path) as source:
+                    content = bytearray(source.read())
+                start = len(content) // 3
+                content[start : start + 64] = bytes(64)
+                with files.open_output_stream(path) as target:
+                    target.write(bytes(content))
+            yield batch
+
+    return keys.select("landing_key").mapInArrow(run, "landing_key STRING").count()
+
+
 def land_copies(copies: str, lake: Lake) -> None:
     """Let the copies land too, under other names: one rename of their folder."""
     files, source = fs.FileSystem.from_uri(f"{copies}/landing")

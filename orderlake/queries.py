@@ -19,7 +19,7 @@ from orderlake.operators.latest import ORDERING, latest_per_order
 from orderlake.operators.metrics import load_metrics, refresh_metrics, refresh_report
 from orderlake.operators.split import quarantine, valid_order
 from orderlake.operators.typed import flag_and_impute_region, typed_orders
-from orderlake.plans.ingest import bronze_rows, widest_header, write_manifest
+from orderlake.plans.ingest import bronze_rows, load_reports, widest_header, write_manifest
 from orderlake.plans.silver import refresh, silver_current
 from orderlake.sinks.tables import (
     append_bronze,
@@ -31,9 +31,9 @@ from orderlake.sinks.tables import (
 )
 from orderlake.sources.csv import match_headers, read_csv
 from orderlake.sources.events import landing_keys
-from orderlake.sources.landing import filter_landing_keys, scan_landing
-from orderlake.sources.tables import between_dates, read_bronze, read_silver
-from orderlake.streaming.ingest import run_ingest, start_ingest
+from orderlake.sources.landing import describe_files, filter_landing_keys, scan_landing
+from orderlake.sources.tables import between_dates, read_bronze, read_ledger, read_silver
+from orderlake.streaming.ingest import run_ingest, start_event_ingest, start_ingest
 
 QUERIES = {}
 ORACLES = {}
@@ -531,7 +531,7 @@ RECORD = """concat('"Records": [{"eventSource": "aws:s3", "s3": {"object": {"key
 DETAIL = """concat('"detail": {"bucket": {"name": "lake-bucket"}, "object": {"key": "', key, '"}}}')"""
 NOTICE = f"""case event_id % 10
  when 0 then concat('{{"landing_key": "', key, '"}}')
- when 1 then concat('{{', {DETAIL})
+ when 1 then concat('{{"source": "aws.s3", "detail-type": "Object ', case when (event_id - event_id % 10) % 30 = 0 then 'Deleted' else 'Created' end, '", ', {DETAIL})
  when 2 then concat('{{', {RECORD})
  when 3 then concat('{{"detail": {{"bucket": {{"name": "other"}}, "object": {{"key": "', key, '"}}}}}}')
  when 4 then concat('{{"Records": [{{"eventSource": "aws:sns", "s3": {{"object": {{"key": "', key, '"}}}}}}]}}')
@@ -541,7 +541,8 @@ NOTICE = f"""case event_id % 10
  when 8 then concat('{{"landing_key": "", ', {RECORD})
  else concat('{{"detail": {{"bucket": {{"name": "lake-bucket"}}, "object": {{"key": ""}}}}, ', {RECORD}) end"""
 KEY_OF_NOTICE_SQL = """case when json_exists(event, '$.landing_key') then event->>'$.landing_key'
- when event->>'$.detail.bucket.name' = 'lake-bucket' and event->>'$.detail.object.key' <> '' then event->>'$.detail.object.key'
+ when event->>'$.detail.bucket.name' = 'lake-bucket' and event->>'$.detail.object.key' <> ''
+   and coalesce(event->>'$."detail-type"', 'Object Created') = 'Object Created' then event->>'$.detail.object.key'
  when event->>'$.Records[0].eventSource' = 'aws:s3' then event->>'$.Records[0].s3.object.key' end"""
 
 
@@ -600,3 +601,94 @@ def stream_recovery(spark, sf_dir) -> DataFrame:
     append_ledger(L.mark_bronze_loaded(loaded, F.lit(1), iso_utc(as_of())), lake, 1)
     start_ingest(spark, lake, f"{root}/checkpoint", archive=False).awaitTermination()
     return read_silver(spark, lake).drop("_transformed_at")
+
+
+@query(f"select distinct regexp_replace(_source_file, '/sales_', case when ends_with(_source_file, '1.zip') then '/_sales_'"
+       f" when ends_with(_source_file, '2.zip') then '/.sales_' else '/sales_' end) as landing_key from ({MANY_SALES_SQL})")
+def landing_scan_names(spark, sf_dir) -> DataFrame:
+    """Landed files, some under names that Spark's own file sources leave out."""
+    lake = Lake(scratch_dir(spark))
+    mark = F.when(F.col("_source_file").endswith("1.zip"), "/_sales_").when(
+        F.col("_source_file").endswith("2.zip"), "/.sales_"
+    )
+    hidden = F.replace("_source_file", F.lit("/sales_"), F.coalesce(mark, F.lit("/sales_")))
+    rows = fixtures.sales(spark, sf_dir, MANY_FILES).withColumn("_source_file", hidden)
+    fixtures.write_zips(fixtures.to_csv_lines(rows), lake.root).count()
+    return describe_files(scan_landing(spark, lake), lake).select("landing_key")
+
+
+@query(" union all ".join([f"select {DATA}, _source_file from ({MANY_SALES_SQL})"] * 3))
+def replaced_file(spark, sf_dir) -> DataFrame:
+    """Every file is replaced under its name by one with each line twice, and both are loaded."""
+    lake = Lake(scratch_dir(spark))
+    lines = fixtures.to_csv_lines(fixtures.sales(spark, sf_dir, MANY_FILES))
+    for landed in (lines, lines.union(lines)):
+        fixtures.write_zips(landed, lake.root).count()
+        run_ingest(spark, lake, archive=False)
+    return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
+
+
+@query(f"""select _source_file as landing_key, case when ends_with(_source_file, '_3.zip') then 'FAILURE' else 'SUCCESS' end as outcome,
+ case when not ends_with(_source_file, '_3.zip') then count(*) end as row_count from ({MANY_SALES_SQL}) group by 1, 2""")
+def stream_bad_files(spark, sf_dir) -> DataFrame:
+    """An eighth of the ZIPs is damaged inside; the stream loads the others and says so of each."""
+    root = scratch_dir(spark)
+    lake = Lake(f"{root}/lake")
+    fixtures.land_sales(spark, sf_dir, lake.root)
+    landed = describe_files(scan_landing(spark, lake), lake)
+    fixtures.damage_zips(landed.filter(F.col("landing_key").endswith("_3.zip")), lake.root)
+    start_ingest(spark, lake, f"{root}/checkpoint", archive=False, refresh_each_batch=False).awaitTermination()
+    return load_reports(spark, lake).select("landing_key", "outcome", "row_count")
+
+
+@query(f"""select distinct 'archive/' || split_part(_source_file, '/', 2) || '/' || split_part(_source_file, '/', 3) as archived,
+ true as in_ledger, 0::bigint as left_in_landing from ({MANY_SALES_SQL})""")
+def archived_files(spark, sf_dir) -> DataFrame:
+    """Files below the archive folder without the checksum in their name, whether the ledger names them, and
+    how many files are left in the landing folder."""
+    lake = Lake(scratch_dir(spark))
+    fixtures.land_sales(spark, sf_dir, lake.root)
+    run_ingest(spark, lake)
+    left = scan_landing(spark, lake).count()
+    listed = scan_landing(spark, lake, lake.archive).select(
+        F.substring_index("path", f"{lake.root}/", -1).alias("archive_key")
+    )
+    named = L.current_state(read_ledger(spark, lake), ["archive_key"]).select("archive_key", F.lit(True).alias("named"))
+    return listed.join(named, "archive_key", "left").select(
+        F.regexp_replace("archive_key", "/[0-9a-f]{12}_", "/").alias("archived"),
+        F.coalesce("named", F.lit(False)).alias("in_ledger"),
+        F.lit(left).cast("bigint").alias("left_in_landing"),
+    )
+
+
+@query(f"select {DATA}, _source_file from ({MANY_SALES_SQL}) where not ends_with(_source_file, '_5.zip')")
+def event_ingest(spark, sf_dir) -> DataFrame:
+    """Bronze rows after a stream of notifications, each twice; those of an eighth of the files tell of a deletion."""
+    root = scratch_dir(spark)
+    lake = Lake(f"{root}/lake")
+    fixtures.land_sales(spark, sf_dir, lake.root)
+    key = F.col("landing_key")
+    kind = F.when(key.endswith("_5.zip"), "Object Deleted").otherwise("Object Created")
+    detail = F.struct(
+        F.struct(F.lit(BUCKET).alias("name")).alias("bucket"), F.struct(key.alias("key")).alias("object")
+    )
+    notice = F.to_json(F.struct(kind.alias("detail-type"), F.lit("aws.s3").alias("source"), detail.alias("detail")))
+    notices = describe_files(scan_landing(spark, lake), lake).select(notice.alias("event"))
+    notices.union(notices).write.parquet(f"{root}/events")
+    events = spark.readStream.schema("event STRING").parquet(f"{root}/events")
+    start_event_ingest(events, lake, BUCKET, f"{root}/checkpoint", refresh_each_batch=False).awaitTermination()
+    return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
+
+
+@query(MANY_SALES_SQL)
+def stream_new_checkpoint(spark, sf_dir) -> DataFrame:
+    """A batch wrote its bronze rows and was cut off before the ledger; a stream on another checkpoint loads
+    the files, and each row is there once."""
+    root = scratch_dir(spark)
+    lake = Lake(f"{root}/lake")
+    fixtures.land_sales(spark, sf_dir, lake.root)
+    manifest = write_manifest(scan_landing(spark, lake), lake, "lost")
+    append_ledger(L.mark_processing(manifest, F.lit(1), iso_utc(as_of())), lake, 1)
+    append_bronze(bronze_rows(match_headers(manifest, widest_header(manifest)), as_of()), lake, "lost")
+    start_ingest(spark, lake, f"{root}/checkpoint", archive=False, refresh_each_batch=False).awaitTermination()
+    return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
