@@ -95,7 +95,9 @@ def scratch_dir(spark: SparkSession) -> str:
     so that all executors see it; on this machine only where the session names none."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        return tempfile.mkdtemp(prefix="orderlake-")
+        if spark.sparkContext.master.split("[")[0] == "local":
+            return tempfile.mkdtemp(prefix="orderlake-")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     if shared.startswith("file:"):
         shared = shared.removeprefix("file:").replace("///", "/", 1)
     return f"{shared.rstrip('/')}/orderlake-{uuid.uuid4().hex}"

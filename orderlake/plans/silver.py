@@ -46,14 +46,23 @@ def refresh_reports(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def reconciliation(spark: SparkSession, lake: Lake, report: DataFrame) -> DataFrame:
-    """The report's row with the sizes of the stored tables and whether all counts agree."""
+    """The reports' rows with the sizes of the stored tables and whether all counts agree.
+
+    The stored tables are those of the newest refresh: its counts must also be their sizes. Older reports are
+    judged by their own counts.
+    """
     stored = read_quarantine(spark, lake).agg(F.count("*").alias("stored_quarantine")).crossJoin(
         read_silver(spark, lake).agg(F.count("*").alias("stored_silver"))
     )
-    return report.crossJoin(stored).withColumn(
+    written = refresh_reports(spark, lake).select(
+        "silver_run_id", F.col("_metadata.file_modification_time").alias("written_at")
+    )
+    newest = written.agg(F.max_by("silver_run_id", "written_at").alias("newest"))
+    return report.crossJoin(stored).crossJoin(newest).withColumn(
         "is_sound",
         F.expr(
             "raw_count = quarantine_count + duplicate_count + silver_count AND duplicate_count >= 0"
-            " AND stored_quarantine = quarantine_count AND stored_silver = silver_count"
+            " AND (silver_run_id <> coalesce(newest, silver_run_id)"
+            " OR stored_quarantine = quarantine_count AND stored_silver = silver_count)"
         ),
-    )
+    ).drop("newest")

@@ -19,6 +19,7 @@ from orderlake.operators.latest import ORDERING, latest_per_order
 from orderlake.operators.metrics import load_metrics, refresh_metrics, refresh_report
 from orderlake.operators.split import quarantine, valid_order
 from orderlake.operators.typed import flag_and_impute_region, typed_orders
+from orderlake.plans.admission import admit_folder
 from orderlake.plans.ingest import bronze_rows, load_reports, widest_header, write_manifest
 from orderlake.plans.silver import refresh, silver_current
 from orderlake.sinks.tables import (
@@ -692,3 +693,20 @@ def stream_new_checkpoint(spark, sf_dir) -> DataFrame:
     append_bronze(bronze_rows(match_headers(manifest, widest_header(manifest)), as_of()), lake, "lost")
     start_ingest(spark, lake, f"{root}/checkpoint", archive=False, refresh_each_batch=False).awaitTermination()
     return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
+
+
+@query(f"select {DATA}, true as was_uploaded from ({MANY_SALES_SQL})")
+def admit_and_land(spark, sf_dir) -> DataFrame:
+    """Offered ZIPs are admitted, landed and registered, offered once more to no effect, then ingested; a row
+    says whether its file had its `uploaded` item."""
+    root = scratch_dir(spark)
+    lake = Lake(f"{root}/lake")
+    fixtures.write_zips(fixtures.to_csv_lines(fixtures.sales(spark, sf_dir, MANY_FILES)), f"{root}/offered").count()
+    for _ in range(2):
+        admit_folder(spark, lake, f"{root}/offered")
+    puts = read_ledger(spark, lake).filter("op = 'put'").groupBy("landing_key").agg(F.count("*").alias("n"))
+    run_ingest(spark, lake, archive=False)
+    bronze = read_bronze(spark, lake)
+    return bronze.join(puts, bronze["_source_file"] == puts["landing_key"], "left").select(
+        *schemas.DATA_COLUMNS, (F.coalesce("n", F.lit(0)) == 1).alias("was_uploaded")
+    )

@@ -18,6 +18,9 @@ def overwrite(
 ) -> None:
     """Replace the whole table at `path` by the named columns of the frame.
 
+    The new table is written beside the old one, under a hidden name, and takes its place when it is
+    complete: a write that fails or is running leaves the old table as it was.
+
     The rows are rebalanced first: Spark then cuts them by size instead of by whatever the last
     shuffle gave, joins small pieces and splits a partition value that is too large for one file.
     """
@@ -29,12 +32,41 @@ def overwrite(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    folder, _, name = path.rpartition("/")
+    writer.parquet(f"{folder}/_new_{name}")
+    _take_place(frame.sparkSession, f"{folder}/_new_{name}", path, f"{folder}/_old_{name}")
+
+
+def _take_place(spark, new: str, path: str, old: str) -> None:
+    """Two renames. What a crash between them leaves is put right by the next write or by `restore`."""
+    restore(spark, path)
+    files, goal = _hadoop(spark, path)
+    source, aside = _hadoop(spark, new)[1], _hadoop(spark, old)[1]
+    if files.exists(goal):
+        files.delete(aside, True)
+        files.rename(goal, aside)
+    if not files.rename(source, goal):
+        raise OSError(f"cannot rename {new} to {path}")
+    files.delete(aside, True)
+
+
+def restore(spark, path: str) -> None:
+    """Put the old table back if a write was cut off while the new one took its place."""
+    folder, _, name = path.rpartition("/")
+    files, goal = _hadoop(spark, path)
+    aside = _hadoop(spark, f"{folder}/_old_{name}")[1]
+    if not files.exists(goal) and files.exists(aside):
+        files.rename(aside, goal)
+
+
+def _hadoop(spark, uri: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def delete_folder(spark, uri: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _hadoop(spark, uri)
+    files.delete(path, True)
 
 
 def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:

@@ -391,3 +391,20 @@ def test_events_start_ingestion(spark, lake, tmp_path):
         write_zip(lake.root, "landing/a b.zip", csv(line(4)))
         spark.createDataFrame([notice("landing/a+b.zip")], "event STRING").write.mode("append").parquet(folder)
     assert orders(spark, lake) == ["1", "4"]
+
+
+def test_admission(spark, lake, tmp_path):
+    from orderlake.plans.admission import admit_folder
+
+    offered = str(tmp_path / "offered")
+    for name, number in (("a", 1), ("b", 2), ("copy", 1)):
+        write_zip(offered, f"{name}.zip", csv(line(number)))
+    first = {row.path.rsplit("/", 1)[1]: row for row in admit_folder(spark, lake, offered).collect()}
+    assert sorted(row.decision for row in first.values()) == ["skipped_duplicate", "uploaded", "uploaded"]
+    assert set(states(spark, lake).values()) == {"uploaded"}
+    assert {row.decision for row in admit_folder(spark, lake, offered).collect()} == {"skipped_duplicate"}
+    landed = {row.landing_key for row in first.values() if row.landing_key}
+    assert {f"landing/{name}" for name in zips_below(lake.landing)} == landed
+    run_ingest(spark, lake)
+    assert orders(spark, lake) == ["1", "2"] and set(states(spark, lake).values()) == {"completed"}
+    assert admit_folder(spark, lake, str(tmp_path / "nothing")).count() == 0

@@ -1,6 +1,7 @@
 """Stored tables: replacing, replaying, layout, catalog."""
 
 import glob
+import os
 
 import pyarrow.parquet as pq
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from orderlake import schemas
 from orderlake.lake import sized_conf
-from orderlake.plans.silver import reconciliation, refresh, silver_current
+from orderlake.plans.silver import reconciliation, refresh, refresh_reports, silver_current
+from orderlake.sinks import tables
 from orderlake.sinks.tables import (
     append_bronze,
     create_tables,
@@ -150,3 +152,43 @@ def test_sql_tables(spark, lake, bronze):
 def test_shuffle_partitions_follow_the_size_of_bronze():
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert [sized_conf(size)[name] for size in (0, 10**12, 10**14)] == ["200", "3726", "100000"]
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, lake):
+    from pyspark.errors import PythonException
+
+    path = f"{lake.root}/t"
+    tables.overwrite(spark.range(3), path, ["id"])
+
+    def crash(batches):
+        yield next(iter(batches))
+        raise RuntimeError("lost")
+
+    with pytest.raises(PythonException, match="lost"):
+        tables.overwrite(spark.range(9).mapInArrow(crash, "id LONG"), path, ["id"])
+    assert spark.read.parquet(path).count() == 3
+    tables.overwrite(spark.range(5), path, ["id"])
+    assert spark.read.parquet(path).count() == 5 and os.listdir(lake.root) == ["t"]
+
+
+def test_a_crash_between_the_renames_is_put_right(spark, lake):
+    path = f"{lake.root}/t"
+    tables.overwrite(spark.range(3), path, ["id"])
+    os.rename(path, f"{lake.root}/_old_t")
+    tables.restore(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    os.rename(path, f"{lake.root}/_old_t")
+    tables.overwrite(spark.range(4), path, ["id"])
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_older_reports_stay_sound(spark, lake, bronze):
+    for number, run_id in enumerate(("first", "second")):
+        append_bronze(bronze.limit(400 + number), lake, run_id)
+        refresh(spark, lake, run_id)
+    rows = reconciliation(spark, lake, refresh_reports(spark, lake)).collect()
+    assert [row.is_sound for row in rows] == [True, True]
+    some = spark.createDataFrame(read_silver(spark, lake).limit(1).collect(), schemas.SILVER_SCHEMA)
+    overwrite_silver(some.withColumn("order_year", F.lit(2020)), lake)
+    rows = reconciliation(spark, lake, refresh_reports(spark, lake)).collect()
+    assert sorted((row.silver_run_id, row.is_sound) for row in rows) == [("first", True), ("second", False)]
