@@ -64,6 +64,12 @@ def _hadoop(spark, uri: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def folder_names(spark, uri: str) -> list[str]:
+    """Names of what lies right below a folder; none if it does not exist."""
+    files, path = _hadoop(spark, uri)
+    return [entry.getPath().getName() for entry in files.listStatus(path)] if files.exists(path) else []
+
+
 def delete_folder(spark, uri: str) -> None:
     files, path = _hadoop(spark, uri)
     files.delete(path, True)

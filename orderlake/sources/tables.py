@@ -8,14 +8,21 @@ from orderlake.lake import Lake
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, partitions: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    partitions: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
-    """Parquet table with a declared schema. Fields of `partitions` (DDL) are folder columns."""
+    """Parquet table with a declared schema. Fields of `partitions` (DDL) are folder columns. With `folder`,
+    a path below the table such as `a=1/b=2`, nothing but that folder is listed."""
     full = schema
     if partitions:
         extra = [f for f in T.StructType.fromDDL(partitions).fields if f.name not in schema.names]
         full = T.StructType(schema.fields + extra)
     try:
+        if folder:
+            return spark.read.schema(full).option("basePath", path).parquet(f"{path}/{folder}")
         return spark.read.schema(full).parquet(path)
     except AnalysisException as failure:
         if failure.getCondition() != "PATH_NOT_FOUND":
@@ -32,13 +39,12 @@ def read_bronze(
 ) -> DataFrame:
     """The 17 bronze columns, and the batch if asked for. `keyed` and `ingest_batch` choose folders, not rows: the table is
     stored apart for rows with and without an order key."""
+    folder = f"ingest_batch={ingest_batch}" if ingest_batch is not None else None
     bronze = read_table(
-        spark, lake.bronze, schemas.BRONZE_SCHEMA, "ingest_batch STRING, keyed BOOLEAN"
+        spark, lake.bronze, schemas.BRONZE_SCHEMA, "ingest_batch STRING, keyed BOOLEAN", folder
     )
     if keyed is not None:
         bronze = bronze.filter(F.col("keyed") == keyed)
-    if ingest_batch is not None:
-        bronze = bronze.filter(F.col("ingest_batch") == ingest_batch)
     return bronze.select(*schemas.BRONZE_SCHEMA.names, *["ingest_batch"] * with_batch)
 
 

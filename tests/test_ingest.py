@@ -408,3 +408,20 @@ def test_admission(spark, lake, tmp_path):
     run_ingest(spark, lake)
     assert orders(spark, lake) == ["1", "2"] and set(states(spark, lake).values()) == {"completed"}
     assert admit_folder(spark, lake, str(tmp_path / "nothing")).count() == 0
+
+
+def test_ledger_does_not_grow_with_the_batches(spark, lake, monkeypatch):
+    monkeypatch.setattr(ingest.compact_ledger, "__defaults__", (6,))
+    for i in range(8):
+        write_zip(lake.root, f"landing/{i}.zip", csv(line(i)))
+        run(spark, lake, f"b{i}")
+        assert len(ingest.ledger_steps(spark, lake)) <= 6 + 3
+    assert orders(spark, lake) == [str(i) for i in range(8)]
+    before = sorted(map(repr, L.current_state(read_ledger(spark, lake)).collect()))
+    assert set(states(spark, lake).values()) == {"completed"} and len(before) == 8
+    assert ingest.compact_ledger(spark, lake, 0)
+    assert len(ingest.ledger_steps(spark, lake)) == 1
+    assert sorted(map(repr, L.current_state(read_ledger(spark, lake)).collect())) == before
+    write_zip(lake.root, "landing/again.zip", csv(line(3)))
+    run(spark, lake, "again")
+    assert orders(spark, lake) == [str(i) for i in range(8)]
