@@ -41,39 +41,39 @@ UNITS = (
     "minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros "
     "degree degrees percent meter meters metre metres kilometer kilometers watt watts volt volts"
 ).split()
-PLAIN, NUMBER, NAME, UNIT = range(4)
+NUMBER, NAME, UNIT = 1, 2, 3
 
 
-def canonical(token: str) -> tuple[int, int]:
-    """Kind and code of a token; all of one placeholder kind have one code."""
+def canonical(token: str) -> int:
+    """Code of a token: its kind if it is a placeholder, else a hash above all kinds."""
     lower = token.lower()
     if token[0].isdigit() or lower in _NUMBERS:
-        return NUMBER, NUMBER
+        return NUMBER
     if lower in _UNITS:
-        return UNIT, UNIT
+        return UNIT
     if token[0].isupper():
-        return NAME, NAME
-    return PLAIN, xxhash.xxh64_intdigest(lower) | 4
+        return NAME
+    return xxhash.xxh64_intdigest(lower) | 4
 
 
 _NUMBERS, _UNITS = frozenset(NUMBER_WORDS), frozenset(UNITS)
 
 
 class Template:
-    """Tokens of one text, their kinds and codes."""
+    """Tokens of one text and their codes."""
 
     def __init__(self, text: str | None, memo: dict):
         self.tokens = TOKEN.findall(text) if text else []
         if len(memo) > REMEMBERED:
             memo.clear()
-        found = []
-        for token in self.tokens:
-            known = memo.get(token)
-            if known is None:
-                known = memo[token] = canonical(token)
-            found.append(known)
-        self.kinds = np.array([k for k, _ in found], np.int8)
-        self.codes = np.array([c for _, c in found], np.uint64)
+        try:
+            codes = list(map(memo.__getitem__, self.tokens))
+        except KeyError:
+            for token in set(self.tokens):
+                if token not in memo:
+                    memo[token] = canonical(token)
+            codes = list(map(memo.__getitem__, self.tokens))
+        self.codes = np.array(codes, np.uint64)
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of the windows of this width that have enough plain words."""
@@ -87,16 +87,16 @@ class Template:
                 value ^= value >> np.uint64(29)
             value *= np.uint64(0xBF58476D1CE4E5B9)
             value ^= value >> np.uint64(32)
-        plain = np.cumsum(np.concatenate([[0], self.kinds == PLAIN]))
+        plain = np.cumsum(np.concatenate([[0], self.codes > UNIT]))
         keep = np.flatnonzero(plain[width:] - plain[:n] >= min(LEAST_PLAIN, (width + 1) // 2))
         return keep, value[keep]
 
     def slots(self, start: int, width: int) -> list[str]:
         """Values in the placeholders of a window, each after its kind."""
         return [
-            f"{self.kinds[i]}{self.tokens[i].lower()}"
+            f"{self.codes[i]}{self.tokens[i].lower()}"
             for i in range(start, start + width)
-            if self.kinds[i]
+            if self.codes[i] <= UNIT
         ]
 
 
