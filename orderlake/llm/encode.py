@@ -120,15 +120,15 @@ def text_groups(texts: list[str | None], most: int = 4 << 20):
     return _ranges((len(text or "") for text in texts), most)
 
 
-def arrow_groups(texts: pa.Array, most: int = 4 << 20):
-    """The same for an Arrow column, by bytes."""
-    return _ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most)
+def arrow_groups(texts: pa.Array, most: int = 4 << 20, rows: int = 1 << 30):
+    """The same for an Arrow column, by bytes, and of at most `rows` texts."""
+    return _ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most, rows)
 
 
-def _ranges(lengths, most: int):
+def _ranges(lengths, most: int, rows: int = 1 << 30):
     start = size = count = 0
     for i, length in enumerate(lengths):
-        if i > start and size + length > most:
+        if i > start and (size + length > most or i - start == rows):
             yield start, i
             start, size = i, 0
         size += length

@@ -10,7 +10,8 @@ segment of another size meets none. Everything is built-in functions.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 THRESHOLD = 0.8
-MOST_TEMPLATES = 10_000
+# Templates up to this many bytes, written out per count, are sent to every task; more are joined by a shuffle.
+MOST_SENT_BYTES = 32 << 20
 
 # Short notices as licensors word them.
 TEMPLATES = {
@@ -178,21 +179,23 @@ def scan_licenses(
     licences the one with the largest coefficient, then the first by name.
 
     Null and empty texts match nothing; repeated rows give repeated rows; other columns are not read. Templates
-    that are null or of one word have no bigram and match nothing. `templates` (`license`, `template`) is a list,
-    not data: its length is checked.
+    that are null or of one word have no bigram and match nothing. `templates` has `license` and `template`.
     """
     if templates is None:
         templates = template_frame(docs.sparkSession)
-    if templates.count() > MOST_TEMPLATES:
-        raise ValueError(f"over {MOST_TEMPLATES} licence templates")
     known = matchable(templates, threshold)
-    high = known.agg(F.max("n").alias("n")).first()["n"] or 0
+    size = known.agg(
+        F.max("n").alias("n"), F.sum(2 * F.length(F.array_join("wanted", " "))).alias("bytes")
+    ).first()
+    high = size["n"] or 0
     sized = segments(docs, high).withColumn("n", count(F.col("line"), " "))
     # A handful of templates per count: a segment meets them as one array, so each segment is one row.
     lists = known.groupBy("n").agg(
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("any_pair"),
         F.collect_list(F.struct("license", "wanted", "m")).alias("candidates"),
     )
+    if (size["bytes"] or 0) <= MOST_SENT_BYTES:
+        lists = F.broadcast(lists)
     # Nearly all segments share no pair with any template of fitting size.
     touched = sized.join(lists, "n").filter(F.arrays_overlap(pairs_of(F.col("line")), F.col("any_pair")))
 
