@@ -252,7 +252,7 @@ def layer_sizes(spark, sf_dir) -> DataFrame:
 
 @query(layers_sql() + LAYER_COUNTS_SQL)
 def layer_sizes_in_sql(spark, sf_dir) -> DataFrame:
-    """Catalog tables over a refreshed lake, read with SQL."""
+    """Catalog tables over a refreshed lake, read with SQL; the three counts outlive the database."""
     lake = stored_bronze(spark, sf_dir)
     database = os.path.basename(lake.root).replace("-", "_")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{lake.root}/{database}.db'")
@@ -260,11 +260,14 @@ def layer_sizes_in_sql(spark, sf_dir) -> DataFrame:
     refresh(spark, lake, "once", as_of())
     publish_tables(spark, database)
     layers = ("bronze", "silver", "quarantine")
-    return spark.sql(
+    counts = spark.sql(
         " UNION ALL ".join(
             f"SELECT '{name}' AS layer, COUNT(*) AS rows FROM {database}.sales_{name}" for name in layers
         )
     )
+    result = spark.createDataFrame(counts.collect(), counts.schema)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
 
 
 DUPLICATES_SQL = "select order_id, count(*) as duplicate_count from {0} group by order_id having count(*) > 1"
