@@ -25,7 +25,7 @@ ORDERS = (2, 3, 4)
 SIZE = 1 << 13
 EPOCHS = 30
 # Texts whose features are in memory together: 32 KB each.
-ROWS = 1024
+ROWS = 512
 PENALTY = 10.0
 UNKNOWN = "und"
 LEAST_SCORE = 0.3
@@ -74,7 +74,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         for k in range(order):
             code = (code << np.uint32(8)) | raw[k : k + len(code)]
         code = (code ^ np.uint32(order << 28)) * np.uint32(2654435761)
-        hashed.append((code >> np.uint32(32 - SIZE.bit_length() + 1)).astype(np.int64))
+        hashed.append((code >> np.uint32(32 - SIZE.bit_length() + 1)).astype(np.uint16))
     for row, (a, b) in enumerate(zip(edges, edges[1:])):
         if has_letter[row]:
             for order, code in zip(ORDERS, hashed):
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], l
     def measure(batches):
         for batch in batches:
             texts = batch.column(1)
-            for first, last in arrow_groups(texts, rows=ROWS):
+            for first, last in arrow_groups(texts, 1 << 20, ROWS):
                 values, has_letter = features(texts.slice(first, last - first))
                 rows = pa.array([row.tobytes() for row in values], pa.binary())
                 part = pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), rows], ["lang", "x"])
@@ -230,7 +230,7 @@ def predict_language(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataF
         predict = predictor(*model.value)
         for batch in batches:
             texts = batch.column(2)
-            for first, last in arrow_groups(texts, rows=ROWS):
+            for first, last in arrow_groups(texts, 1 << 20, ROWS):
                 size = last - first
                 names, scores = zip(*predict(texts.slice(first, size)))
                 yield pa.RecordBatch.from_arrays(
@@ -253,7 +253,7 @@ def in_known_language(docs: DataFrame, least_score: float = LEAST_SCORE) -> Data
         predict = predictor(*model.value)
         for batch in batches:
             texts = batch.column(place)
-            for first, last in arrow_groups(texts, rows=ROWS):
+            for first, last in arrow_groups(texts, 1 << 20, ROWS):
                 part = batch.slice(first, last - first)
                 keep = [name != UNKNOWN and score >= least_score for name, score in predict(part.column(place))]
                 yield part.filter(pa.array(keep))

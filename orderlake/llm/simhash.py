@@ -21,8 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from orderlake.llm.components import connected_components
-from orderlake.llm.encode import text_groups
-from orderlake.llm.scratch import drop, stage
+from orderlake.llm.scratch import stage
 from orderlake.llm.words import words
 
 WIDTH = 3
@@ -30,40 +29,33 @@ SEED = 42
 RADIUS = 2
 POSITIONS = 8
 LONG_LIST = 32
+CHUNK = 1 << 16
 
 
-def shingle_digests(text: str | None, width: int) -> list[bytes]:
-    """XXH64 digests of the space-joined shingles, repeats included."""
+def shingle_digests(text: str | None, width: int) -> bytes:
+    """XXH64 digests of the space-joined shingles one after another, repeats included."""
     found = words(text)
     if not found:
-        return []
+        return b""
     joined = b" ".join(found)
     if len(found) <= width:
-        return [xxhash.xxh64_digest(joined, SEED)]
-    starts = np.cumsum([0, *map(len, found[:-1])]) + np.arange(len(found))
-    ends = (starts[width - 1 :] + np.array([len(w) for w in found[width - 1 :]])).tolist()
+        return xxhash.xxh64_digest(joined, SEED)
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    del found
+    ends = np.cumsum(sizes + 1) - 1
+    starts = (ends - sizes)[: 1 - width or None].tolist()
     digest = xxhash.xxh64_digest
-    return [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends)]
-
-
-def fingerprints(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
-    """Big-endian fingerprints (n x 8 bytes). A bit is set if over half of the hashes set it."""
-    digests = [shingle_digests(text, width) for text in texts]
-    counts = np.array([len(d) for d in digests])
-    result = np.zeros((len(texts), POSITIONS), np.uint8)
-    some = np.flatnonzero(counts)
-    if not len(some):
-        return result
-    raw = np.frombuffer(b"".join([b"".join(d) for d in digests]), np.uint8).reshape(-1, POSITIONS)
-    starts = np.concatenate([[0], np.cumsum(counts[some])])
-    totals = np.zeros((len(some), 64), np.int64)
-    # Bits of a bounded number of hashes are spread out at a time, whatever one text's length.
-    for i, (first, last) in enumerate(zip(starts, starts[1:])):
-        for low in range(first, last, 1 << 18):
-            part = np.unpackbits(raw[low : min(low + (1 << 18), last)], axis=1)
-            totals[i] += part.sum(axis=0, dtype=np.int32)
-    result[some] = np.packbits(2 * totals > counts[some, None], axis=1)
-    return result
+    return b"".join([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())])
+
+
+def fingerprint(text: str | None, width: int = WIDTH) -> bytes:
+    """Eight bytes, the highest bit first. A bit is set if over half of the hashes set it."""
+    raw = np.frombuffer(shingle_digests(text, width), np.uint8).reshape(-1, POSITIONS)
+    totals = np.zeros(64, np.int64)
+    # Bits of a bounded number of hashes are spread out at a time, whatever the text's length.
+    for low in range(0, len(raw), CHUNK):
+        totals += np.unpackbits(raw[low : low + CHUNK], axis=1).sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * totals > len(raw)).tobytes()
 
 
 def with_fingerprint(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -75,9 +67,9 @@ def with_fingerprint(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            parts = [fingerprints(texts[a:b], width) for a, b in text_groups(texts)]
-            fps = np.concatenate(parts).reshape(-1).view(">i8").astype(np.int64)
+            column = batch.column(batch.schema.get_field_index("text"))
+            found = [fingerprint(text.as_py(), width) for text in column]
+            fps = np.frombuffer(b"".join(found), ">i8").astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(n)) for n in kept), pa.array(fps)],
                 schema.names,

@@ -24,8 +24,6 @@ from orderlake.llm.scratch import worker_cache
 MARKER = "▁"
 REMEMBERED = 600_000
 UNKNOWN_PENALTY = 10.0
-# Kinds of pieces in a sentencepiece model.
-NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 
 
 def read_pieces(path: str) -> tuple[list[str], list[float], bool]:
@@ -183,4 +181,7 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
                     ["doc_id", "n_pretokens", "n_tokens"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pretokens long, n_tokens long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_pretokens long, n_tokens long"
+    )
