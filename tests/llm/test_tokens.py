@@ -12,7 +12,6 @@ from tokenizers import Tokenizer
 from orderlake.llm import packing, token_counts as counts, token_files as files
 from orderlake.llm.queries import UNIGRAM, WORD_BPE
 from orderlake.llm.scratch import new_folder
-from llm.conftest import ODD
 
 END = 2
 
@@ -77,12 +76,12 @@ def test_packing_in_many_groups_exchanges_documents(docs):
 def test_packed_sequences_hold_the_ids(tokenizer, docs):
     plan = packing.pack_documents(docs, WORD_BPE)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    for row in packing.packed_sequences(docs, plan, WORD_BPE).collect():
-        if len(set(row.doc_ids)) == len(row.doc_ids) and row.length < 2048:
-            whole = [i for k in row.doc_ids for i in ids(tokenizer, texts[k]) + [0]]
-            assert row.ids == whole[-row.length :] or row.ids == whole[: row.length] or row.ids in (whole,) or len(
-                whole
-            ) > 2048
+    sequences = {r.sequence_id: r for r in packing.packed_sequences(docs, plan, WORD_BPE).collect()}
+    for row in plan.collect():
+        whole = ids(tokenizer, texts[row.doc_id]) + [0]
+        sequence = sequences[row.sequence_id]
+        assert sequence.ids[row.offset : row.offset + row.length] == whole[row.start : row.start + row.length]
+        assert row.doc_id in sequence.doc_ids and sequence.length == len(sequence.ids)
 
 
 def test_nothing_to_pack(none):
@@ -184,7 +183,3 @@ def test_token_counts_equal_plain_segmentation(request, frame):
 
 def test_no_token_counts(none):
     assert counts.token_counts(none, UNIGRAM).collect() == []
-
-
-def test_odd_texts_are_odd():
-    assert len(ODD) > 10
