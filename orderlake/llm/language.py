@@ -1,9 +1,9 @@
 """Language of a text, decided in two steps.
 
 First the language family, then the language within it. Each step asks one-versus-one linear support vector
-machines, whose margins are turned into probabilities and summed per candidate; the score of a text is the
-product of both steps. A family machine sees all languages of two families, so what separates them is learnt from
-all; a language machine sees two close languages only and spends its weights on what tells those two apart.
+machines, whose margins are turned into probabilities and averaged per candidate over its own machines; the score of
+a text is the product of both steps, so a sure one is near 1 whatever the number of families and languages. A family
+machine sees all languages of two families, so what separates them is learnt from all; a language machine sees two close languages only and spends its weights on what tells those two apart.
 
 Features are hashed byte n-grams of the whole text, in lower case, letters only, as square roots of their shares.
 
@@ -189,13 +189,13 @@ def predictor(languages, tasks, weights):
     families = sorted({family(code) for code in languages})
 
     def shares(names, step, chance):
-        """Mean probability of each name over its machines, made to sum to one."""
+        """Mean probability of each name over its own machines: at best one, however many names there are."""
         total = np.zeros((chance.shape[0], len(names)))
         for number, (kind, a, b) in enumerate(tasks):
             if kind == step and a in names and b in names:
                 total[:, names.index(a)] += chance[:, number]
                 total[:, names.index(b)] += 1 - chance[:, number]
-        return total / total.sum(axis=1, keepdims=True) if len(names) > 1 else np.ones((len(chance), 1))
+        return total / (len(names) - 1) if len(names) > 1 else np.ones((len(chance), 1))
 
     def run(texts: pa.Array):
         x, has_letter = features(texts)

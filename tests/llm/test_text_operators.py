@@ -1,6 +1,7 @@
 """Operators 1, 3, 5, 9 and 10, and the pipeline."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -163,6 +164,20 @@ def test_language_of_odd_texts(odd, none, docs):
     assert language.in_known_language(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("codes", ["en fr ru lt ga fi tr hi ta", "en de nl sv fr es it pt ru uk pl cs ar he am mt"])
+def test_many_families_stay_in_known_language(spark, codes):
+    """Clean text of nine families, and of four families with four languages each."""
+    rows = []
+    for number, code in enumerate(codes.split()):
+        rng = random.Random(number)
+        own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(150)]
+        rows += [(1000 * number + i, " ".join(rng.choices(own, k=80)), code) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.in_known_language(docs).count() == len(rows)
+    found = {r.doc_id: r for r in language.predict_language(docs).collect()}
+    assert all(found[k].lang_pred == code and 0.5 < found[k].score <= 1 for k, _, code in rows)
+
+
 def test_family_comes_first():
     assert language.machines(["de", "en", "es", "fr", "xx"]) == [
         ("family", "germanic", "romance"), ("family", "germanic", "xx"), ("family", "romance", "xx"),
