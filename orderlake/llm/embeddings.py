@@ -326,24 +326,30 @@ def near_duplicates(
     """One row per row of `vectors` (`vec_id`, `embedding`: array of float or double): `vec_id`, `n_links`,
     `component_id`, `kept`.
 
-    Vectors that are null, empty or zero or hold null or non-finite components link with nothing, nor do
-    those of another length than most have. Repeated rows, also of one id, are vectors of their own, linked
+    Vectors that are null, empty or zero or hold null or non-finite components link with nothing. Vectors of each
+    length are linked among themselves, one length after another. Repeated rows, also of one id, are vectors of their own, linked
     with each other. A component is named after its smallest id, null if it has none; `kept` is false
     for rows without an id that are not alone. Other columns are not read.
     """
     rows = stage(unit_rows(vectors).withColumn("row", F.monotonically_increasing_id()), "rows")
     widths = rows.filter("vector is not null").groupBy("width").agg(F.count("*").alias("n"))
-    common = widths.orderBy(F.desc("n"), F.desc("width")).first()
+    # A vector that is the only one of its length has nothing to be linked with.
+    several = [row.width for row in widths.filter("n > 1").orderBy("width").collect()]
     alone = [
         F.lit(0).cast("long").alias("n_links"),
         F.col("vec_id").alias("component_id"),
         F.lit(True).alias("kept"),
     ]
-    if common is None:
-        return rows.select("vec_id", *alone)
-    width = common["width"]
-    valid = rows.filter((F.col("width") == width) & F.col("vector").isNotNull())
-    others = rows.filter((F.col("width") != width) | F.col("vector").isNull())
+    linked = F.col("vector").isNotNull() & F.col("width").isin(several)
+    result = rows.filter(~linked).select("vec_id", *alone)
+    for width in several:
+        valid = rows.filter((F.col("width") == width) & F.col("vector").isNotNull())
+        result = result.union(linked_vectors(valid, width, cosine, trees, spill))
+    return result
+
+
+def linked_vectors(valid: DataFrame, width: int, cosine: float, trees: int, spill: float) -> DataFrame:
+    """The result for the unit rows of one length."""
     balls, members = collect_balls(valid, width, cosine)
     pairs = stage(compare(balls, width, cosine, trees, spill), "pairs")
 
@@ -374,7 +380,7 @@ def near_duplicates(
         .join(by_ball, "ball", "left")
         .select("ball", "component_id", (F.col("n") - 1 + F.coalesce("whole_links", F.lit(0))).alias("links"))
     )
-    linked = (
+    return (
         members.join(valid.select("row", "vec_id"), "row")
         .join(of_ball, "ball")
         .join(by_row, "row", "left")
@@ -385,4 +391,3 @@ def near_duplicates(
         )
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("n_links") == 0))
     )
-    return linked.union(others.select("vec_id", *alone))

@@ -159,6 +159,17 @@ def test_odd_vectors(spark):
     assert [(r.n_links, r.component_id) for r in twice] == [(3, 7)] * 4
 
 
+def test_vectors_of_several_lengths(spark):
+    """Each length has links of its own; one length occurs once."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for width, number in ((8, 30), (12, 30), (3, 2), (5, 1)):
+        for _ in range(number):
+            centre = rng.normal(size=width)
+            rows += [(centre + 0.02 * rng.normal(size=width)).tolist() for _ in range(2 if number > 1 else 1)]
+    check_vectors(spark, [(i, v) for i, v in enumerate(rows)])
+
+
 def test_given_vectors(spark, sf_dir):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     check_vectors(spark, rows)
