@@ -10,7 +10,7 @@ from orderlake.llm.language import in_known_language
 from orderlake.llm.packing import pack_documents
 from orderlake.llm.queries import WORD_BPE, table
 from orderlake.llm.scratch import stage
-from orderlake.llm.similar import one_of_similar
+from orderlake.llm.simhash import one_of_each
 from orderlake.llm.toxicity import without_toxic
 
 
@@ -25,9 +25,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: links by five-word shingles of Jaccard similarity 0.8 and more,
-    verified. The two bits of `op6_simhash` are the contract of that query alone."""
-    return one_of_similar(docs)
+    """One document of each group of near-duplicates, by the fingerprints and the two bits of `op6_simhash`."""
+    return one_of_each(docs)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
