@@ -104,3 +104,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), UNIGRAM)
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repair."""
+    from orderlake.llm.conversations import repaired_conversations
+
+    return repaired_conversations(table(spark, sf_dir, "conversations"))

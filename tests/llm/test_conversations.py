@@ -1,0 +1,172 @@
+"""Operator 12 against a plain search over all edits."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from orderlake.llm import conversations, queries
+from orderlake.llm.conversations import repaired_conversations
+
+SPACE = " \t\n\x0b\x0c\r"
+STEPS = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+
+def cheapest(rows):
+    """rows: (role, text, fault) -> cost and least audit with the rows left, by the best way to each state."""
+    best = {"": (0, "", ())}
+
+    def insert(best):
+        for _ in range(4):
+            for (state, initial), then in STEPS.items():
+                if initial != "s" and state in best:
+                    cost, audit, left = best[state]
+                    role = "user" if initial == "u" else "assistant"
+                    new = (cost + 3, audit + "I", (*left, f"{role}:"))
+                    best[then] = min(best.get(then, new), new, key=lambda x: x[:2])
+        return best
+
+    for role, text, fault in rows:
+        after = {}
+
+        def offer(state, new):
+            after[state] = min(after.get(state, new), new, key=lambda x: x[:2])
+
+        for state, (cost, audit, left) in insert(best).items():
+            offer(state, (cost + 4, audit + "D", left))
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = 3 if fault == "truncated" else 0
+            for initial, name in (("u", "user"), ("a", "assistant")):
+                if (state, initial) in STEPS:
+                    offer(STEPS[state, initial], (cost + 3 + extra, audit + "R", (*left, f"{name}:{text}")))
+            if (state, role[:1]) in STEPS:
+                offer(STEPS[state, role[:1]], (cost + extra, audit + "K", (*left, f"{role}:{text}")))
+        best = after
+    best = insert(best)
+    return min((best[s] for s in ("", "a") if s in best), key=lambda x: x[:2])
+
+
+def plain(rows):
+    """(conv, turn, role, text) -> the query's result for each conversation."""
+    found = {}
+    def order(row):
+        return row[1] is not None, row[1] or 0, *(" " if x is None else x for x in row[2:])
+
+    for conv, turn, role, text in sorted(rows, key=order):
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        case = zlib.crc32(key.encode()) % 20
+        role, text = role if role is not None else " ", text if text is not None else " "
+        if case == 1:
+            text = ""
+        if case == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if case == 4:
+            role = "user"
+        found.setdefault(conv, []).extend([(turn, role, text)] * (0 if case == 0 else 2 if case == 3 else 1))
+    results = {}
+    for conv, rows in found.items():
+        seen, marked = set(), []
+        for turn, role, text in rows:
+            fault = ""
+            if not text.strip(SPACE):
+                fault = "blank"
+            elif (role, text) in seen:
+                fault = "duplicate"
+            elif text.rstrip(SPACE)[-1] not in ".!?":
+                fault = "truncated"
+            seen.add((role, text))
+            marked.append((role, text, fault))
+        initials = [role[:1] for role, _, _ in marked]
+        turns = {turn for turn, _, _ in rows if turn is not None}
+        cost, audit, left = cheapest(marked)
+        results[conv] = (
+            max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+            *(sum(f == kind for _, _, f in marked) for kind in ("blank", "duplicate", "truncated")),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+            cost,
+            audit,
+            hashlib.sha256("\n".join(left).encode()).hexdigest(),
+        )
+    return results
+
+
+def collected(frame):
+    rows = frame.collect()
+    found = {
+        r.conv_id: (r.gaps, r.blank, r.duplicate, r.truncated, r.illegal, r.cost, r.audit, r.repaired_sha256) for r in rows
+    }
+    assert len(found) == len(rows)
+    return found
+
+
+def made_rows(seed=1, conversations=400):
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(conversations):
+        for turn in range(rng.choice([1, 1, 2, 3, 5, 9, 14])):
+            rows.append(
+                (
+                    conv if conv else None,
+                    rng.choice([turn, turn, turn * 2, None]) if rng.random() < 0.2 else turn,
+                    rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None, "User", "anna"]),
+                    rng.choice(["Yes.", "No!", "Why?", "so", " \t", "", None, "é", "A. \n", f"own {rng.random()}.", f"own {rng.random()}"]),
+                )
+            )
+    return rows
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def test_equals_search(spark):
+    rows = made_rows()
+    assert collected(repaired_conversations(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
+
+
+def test_query_equals_search(spark, sf_dir):
+    rows = [tuple(r) for r in queries.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    assert collected(queries.QUERIES["op12_conversation_repair"](spark, sf_dir)) == plain(rows)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_long_conversations_over_many_chunks(spark, monkeypatch, parts):
+    """One conversation holds most rows, many of them equal; chunks are small and ranges cut through it."""
+    monkeypatch.setattr(conversations, "CHUNK_ROWS", 7)
+    rng = random.Random(parts)
+    rows = made_rows(2, 30)
+    rows += [(77, rng.randrange(300), rng.choice(["user", "assistant", "system"]), rng.choice(["Yes.", f"x{i}.", f"y{i}"])) for i in range(500)]
+    rows += [(78, None, "user", "Same."), (78, 5, "assistant", "Same.")] * 60
+    frame = spark.createDataFrame(rows, SCHEMA)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = collected(repaired_conversations(frame))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == plain(rows)
+
+
+def test_long_text_clashing_columns_and_nothing(spark):
+    rows = [(1, 0, "user", "word " * 400_000 + "."), (1, 1, "assistant", "x" * 1_000_000), (2, 0, None, None)]
+    extra = spark.createDataFrame([(*r, 1, "k", 2) for r in rows], SCHEMA + ", code int, gone string, audit long")
+    assert collected(repaired_conversations(extra)) == plain(rows)
+    assert repaired_conversations(extra.limit(0)).collect() == []
+
+
+def test_repaired_turns_are_the_operators_output(spark):
+    rows = [(1, 0, "system", "S."), (1, 1, "assistant", "A."), (1, 2, "assistant", "B."), (1, 3, "user", "C?")]
+    (piece,) = conversations.repair(spark.createDataFrame(rows, SCHEMA)).filter("last").collect()
+    cost, audit, left = cheapest([(r[2], r[3], "") for r in rows])
+    assert (piece.cost, piece.audit) == (cost, audit)
+    assert [f"{t.role}:{t.text}" for t in piece.turns] == list(left)
+    assert set(audit) <= set("DIKR")
+
+
+def test_vectors_are_few():
+    tables = conversations.Tables()
+    assert len(tables.vectors) < 64
+    assert max(max(v) for v in tables.vectors) < 8
