@@ -5,7 +5,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import licenses
+from orderlake.llm import licenses, ranked_search
 
 QUERIES = {}
 ORACLES = {}
@@ -112,3 +112,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlake.llm.conversations import repaired_conversations
 
     return repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_ranked_search"] = ranked_search.oracle_sql()
