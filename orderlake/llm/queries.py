@@ -121,3 +121,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_ranked_search"] = ranked_search.oracle_sql()
+
+
+@query
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from orderlake.llm.main_text import with_main_text
+
+    return with_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
