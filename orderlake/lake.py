@@ -21,18 +21,38 @@ SESSION_CONF = {
 TARGET_FILE_BYTES = 134217728
 
 
-def sized_conf(bronze_bytes: int) -> dict[str, str]:
-    """The settings for a session that refreshes a bronze table of this size.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_partitions(data_bytes: int, least: int = 200) -> int:
+    """Partitions of a shuffle of rows of this size.
 
     Adaptive execution joins shuffle partitions that turn out small but cannot divide one that is too
-    large for a window, so a refresh starts with many: one per two target files of bronze, never
+    large for a window, so a refresh starts with many: one per two target files, never
     fewer than Spark's default. Beyond 100,000 the number of shuffle blocks would cost more than
     larger partitions, which sort on disk.
     """
-    partitions = min(max(200, -(-bronze_bytes // (2 * TARGET_FILE_BYTES))), 100_000)
-    return SESSION_CONF | {
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)
-    }
+    return min(max(least, -(-data_bytes // (2 * TARGET_FILE_BYTES))), max(least, 100_000))
+
+
+def sized_conf(bronze_bytes: int) -> dict[str, str]:
+    """The settings for a session that refreshes a bronze table of this size."""
+    return SESSION_CONF | {INITIAL_PARTITIONS: str(shuffle_partitions(bronze_bytes))}
+
+
+def sized_session(spark, data_bytes: int):
+    """A session beside the given one, with its settings, whose shuffles are cut for rows of this size. The
+    given session stays as it is."""
+    session = spark.newSession()
+    there = session.conf.getAll
+    for name, value in spark.conf.getAll.items():
+        if there.get(name) != value and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = str(shuffle_partitions(data_bytes, least))
+    for name in ("spark.sql.shuffle.partitions", INITIAL_PARTITIONS):
+        session.conf.set(name, partitions)
+    return session
 
 
 @dataclass(frozen=True)
@@ -64,6 +84,14 @@ class Lake:
     def quarantine(self):
         return f"{self.root}/quarantine"
 
+    @property
+    def snapshots(self):
+        return f"{self.root}/snapshots"
+
+    @property
+    def changes(self):
+        return f"{self.root}/_changes"
+
     @property
     def ledger(self):
         return f"{self.root}/ledger"

@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 from orderlake.functions.text import is_missing
 
 IDENTITY = "raw_count = quarantine_count + duplicate_count + silver_count"
+# What is counted; the rest of a report follows from it.
+COUNTS = ["raw_count", "quarantine_count", "synthetic_region_count", "silver_count"]
 
 
 def load_metrics(bronze: DataFrame) -> DataFrame:
@@ -31,7 +33,11 @@ def refresh_metrics(bronze: DataFrame) -> DataFrame:
 
 def refresh_report(metrics: DataFrame, silver: DataFrame) -> DataFrame:
     """The six counts of a refresh on one row."""
-    counted = metrics.crossJoin(silver.agg(F.count("*").alias("silver_count")))
+    return report_of_counts(metrics.crossJoin(silver.agg(F.count("*").alias("silver_count"))))
+
+
+def report_of_counts(counted: DataFrame) -> DataFrame:
+    """`COUNTS` -> the six counts of a report."""
     clean = F.col("raw_count") - F.col("quarantine_count")
     return counted.select(
         "raw_count",

@@ -33,7 +33,7 @@ from orderlake.sinks.tables import (
 from orderlake.sources.csv import match_headers, read_csv
 from orderlake.sources.events import landing_keys
 from orderlake.sources.landing import describe_files, filter_landing_keys, scan_landing
-from orderlake.sources.tables import between_dates, read_bronze, read_ledger, read_silver
+from orderlake.sources.tables import between_dates, read_bronze, read_layers, read_ledger, read_silver
 from orderlake.streaming.ingest import run_ingest, start_event_ingest, start_ingest
 
 QUERIES = {}
@@ -308,6 +308,55 @@ def overwrite_static(spark, sf_dir) -> DataFrame:
     return read_silver(spark, lake)
 
 
+THIRD = "cast(substring(coalesce(total_revenue, '0'), length(coalesce(total_revenue, '0')), 1) as int) % 3"
+
+
+def third(bronze: DataFrame, number: int) -> DataFrame:
+    """A third of the rows; rows of one order, and such that tie, are in several of them."""
+    return bronze.filter(F.expr(THIRD) == number)
+
+
+@query(layers_sql() + "select * from silver")
+def incremental_refresh(spark, sf_dir) -> DataFrame:
+    """Silver after three batches, each with a refresh of its own that reads the new rows only."""
+    lake = Lake(scratch_dir(spark))
+    bronze = fixtures.bronze(spark, sf_dir)
+    for number in range(3):
+        append_bronze(third(bronze, number), lake, f"batch-{number}")
+        refresh(spark, lake, f"run-{number}", as_of())
+    return read_silver(spark, lake)
+
+
+@query(layers_sql() + REPORT_SQL)
+def incremental_report(spark, sf_dir) -> DataFrame:
+    """The counts that the last of three refreshes reports."""
+    lake = Lake(scratch_dir(spark))
+    bronze = fixtures.bronze(spark, sf_dir)
+    for number in range(3):
+        append_bronze(third(bronze, number), lake, f"batch-{number}")
+        report = refresh(spark, lake, f"run-{number}", as_of())
+    return report.drop("silver_run_id")
+
+
+@query(
+    layers_sql()
+    + f"select *, (select count(*) from quarantine where {THIRD} = 0) as quarantine_then,"
+    + " (select count(*) from quarantine) as quarantine_now from quarantine where " + f"{THIRD} = 0"
+)
+def snapshot_reader(spark, sf_dir) -> DataFrame:
+    """Rows that a reader has taken up before another refresh, and reads after it; with the sizes of both."""
+    lake = Lake(scratch_dir(spark))
+    bronze = fixtures.bronze(spark, sf_dir)
+    append_bronze(third(bronze, 0), lake, "first")
+    refresh(spark, lake, "first", as_of())
+    _, then = read_layers(spark, lake)
+    append_bronze(bronze.filter(F.expr(THIRD) != 0), lake, "second")
+    refresh(spark, lake, "second", as_of())
+    _, now = read_layers(spark, lake)
+    sizes = then.agg(F.count("*").alias("quarantine_then")).crossJoin(now.agg(F.count("*").alias("quarantine_now")))
+    return then.crossJoin(sizes)
+
+
 @query(layers_sql() + "select * from bronze union all select * from bronze")
 def append_replay(spark, sf_dir) -> DataFrame:
     """Two batches, the first of them written twice."""

@@ -4,13 +4,17 @@ The write mode is set on each write and holds whatever the session says: a full
 turn into one that keeps the partitions the new rows do not touch.
 """
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from orderlake import schemas
+from orderlake import schemas, snapshots
+from orderlake.files import delete_folder, folder_names, hadoop
 from orderlake.functions.text import is_missing
 from orderlake.lake import Lake
+from orderlake.snapshots import CODEC, Snapshot
 
-CODEC = "snappy"
+ROOT_PROPERTY, SNAPSHOT_PROPERTY = "orderlake.root", "orderlake.snapshot"
 
 
 def overwrite(
@@ -40,8 +44,8 @@ def overwrite(
 def _take_place(spark, new: str, path: str, old: str) -> None:
     """Two renames. What a crash between them leaves is put right by the next write or by `restore`."""
     restore(spark, path)
-    files, goal = _hadoop(spark, path)
-    source, aside = _hadoop(spark, new)[1], _hadoop(spark, old)[1]
+    files, goal = hadoop(spark, path)
+    source, aside = hadoop(spark, new)[1], hadoop(spark, old)[1]
     if files.exists(goal):
         files.delete(aside, True)
         files.rename(goal, aside)
@@ -53,46 +57,51 @@ def _take_place(spark, new: str, path: str, old: str) -> None:
 def restore(spark, path: str) -> None:
     """Put the old table back if a write was cut off while the new one took its place."""
     folder, _, name = path.rpartition("/")
-    files, goal = _hadoop(spark, path)
-    aside = _hadoop(spark, f"{folder}/_old_{name}")[1]
+    files, goal = hadoop(spark, path)
+    aside = hadoop(spark, f"{folder}/_old_{name}")[1]
     if not files.exists(goal) and files.exists(aside):
         files.rename(aside, goal)
 
 
-def _hadoop(spark, uri: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def folder_names(spark, uri: str) -> list[str]:
-    """Names of what lies right below a folder; none if it does not exist."""
-    files, path = _hadoop(spark, uri)
-    return [entry.getPath().getName() for entry in files.listStatus(path)] if files.exists(path) else []
-
-
-def delete_folder(spark, uri: str) -> None:
-    files, path = _hadoop(spark, uri)
-    files.delete(path, True)
-
-
 def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:
-    """Add one batch of rows. A batch written again replaces its own folder only.
+    """Add one batch of rows. A batch written again replaces its own folder only; if silver rests on it, the next
+    refresh is a full one.
 
     Rows with and without an order key lie in folders of their own, so that silver and quarantine
     each read just their rows.
     """
+    spark = bronze.sparkSession
     keyed = bronze.withColumn("keyed", ~is_missing("order_id"))
+    if folder_names(spark, f"{lake.bronze}/ingest_batch={ingest_batch}"):
+        snapshots.invalidate(spark, lake)
     path = f"{lake.bronze}/ingest_batch={ingest_batch}"
     overwrite(keyed, path, [*schemas.BRONZE_SCHEMA.names, "keyed"], ["keyed"])
 
 
+def remove_bronze(spark, lake: Lake, ingest_batch: str) -> None:
+    """Remove a batch that must not count; the next refresh is a full one."""
+    snapshots.invalidate(spark, lake)
+    delete_folder(spark, f"{lake.bronze}/ingest_batch={ingest_batch}")
+
+
 def overwrite_quarantine(quarantine: DataFrame, lake: Lake) -> None:
-    overwrite(quarantine, lake.quarantine, schemas.QUARANTINE_SCHEMA.names)
+    """Replace the quarantine, and nothing else."""
+    spark = quarantine.sparkSession
+    now = snapshots.current_snapshot(spark, lake) or Snapshot()
+    version = snapshots.new_version(now.number + 1)
+    snapshots.write_piece(quarantine, lake, schemas.QUARANTINE_SCHEMA.names, version)
+    snapshots.commit(spark, lake, replace(now, number=now.number + 1, pieces=[version], base=None))
 
 
 def overwrite_silver(silver: DataFrame, lake: Lake) -> None:
-    """Silver lies in one folder per order year; rows without a date in the default folder."""
-    overwrite(silver, lake.silver, schemas.SILVER_SCHEMA.names, ["order_year"])
+    """Replace silver, and nothing else. It lies in one folder per order year; rows without a date in the default
+    folder."""
+    spark = silver.sparkSession
+    now = snapshots.current_snapshot(spark, lake) or Snapshot()
+    version = snapshots.new_version(now.number + 1)
+    years = snapshots.write_years(silver, lake, schemas.SILVER_SCHEMA.names, version)
+    fresh = dict.fromkeys(years, version)
+    snapshots.commit(spark, lake, replace(now, number=now.number + 1, years=fresh, base=None))
 
 
 def write_batch_rows(rows: DataFrame, path: str) -> None:
@@ -129,21 +138,83 @@ def create_tables(spark, lake: Lake, database: str = "default") -> None:
                 + T.StructType.fromDDL("ingest_batch STRING, keyed BOOLEAN").fields
             ),
             lake.bronze,
-            "PARTITIONED BY (ingest_batch, keyed)",
+            "ingest_batch, keyed",
+        ),
+        "sales_silver": (schemas.SILVER_SCHEMA, lake.silver, "order_year"),
+        "sales_quarantine": (
+            T.StructType(schemas.QUARANTINE_SCHEMA.fields + T.StructType.fromDDL("version STRING").fields),
+            lake.quarantine,
+            "version",
         ),
-        "sales_silver": (schemas.SILVER_SCHEMA, lake.silver, "PARTITIONED BY (order_year)"),
-        "sales_quarantine": (schemas.QUARANTINE_SCHEMA, lake.quarantine, ""),
     }
     for name, (schema, path, partitioning) in tables.items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_ddl(schema)}) USING parquet "
-            f"OPTIONS (compression '{CODEC}') {partitioning} LOCATION '{path}'"
+            f"OPTIONS (compression '{CODEC}') PARTITIONED BY ({partitioning}) LOCATION '{path}' "
+            f"TBLPROPERTIES ('{ROOT_PROPERTY}' = '{lake.root}')"
         )
 
 
 def publish_tables(spark, database: str = "default") -> None:
-    """Let the SQL tables see what was written since: new folders and replaced files."""
-    for name in ("sales_bronze", "sales_silver"):
-        spark.sql(f"MSCK REPAIR TABLE {database}.{name} SYNC PARTITIONS")
-    for name in ("sales_bronze", "sales_silver", "sales_quarantine"):
-        spark.catalog.refreshTable(f"{database}.{name}")
+    """Let the SQL tables show the newest snapshot, with the bronze batches it rests on.
+
+    Only what has changed since the snapshot published before is told to the catalog: folders of the years and
+    quarantine pieces that differ, and the batches taken in since. Each statement may be repeated, and the
+    snapshot's number is noted last. Only a full rebuild has all bronze folders listed.
+    """
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {database}.sales_silver").collect()}
+    lake = Lake(properties[ROOT_PROPERTY])
+    now = snapshots.current_snapshot(spark, lake)
+    published = int(properties.get(SNAPSHOT_PROPERTY, 0))
+    if now is None or now.number == published:
+        return
+    kept = published in snapshots.numbers(spark, lake)
+    before = snapshots.read_snapshot(spark, lake, published) if kept else Snapshot()
+
+    silver, quarantine, bronze = (f"{database}.sales_{name}" for name in ("silver", "quarantine", "bronze"))
+    gone = [f"order_year={_year(y)}" for y in _listed(spark, silver, before.years, kept) if y not in now.years]
+    _drop(spark, silver, gone)
+    for year, version in now.years.items():
+        if before.years.get(year) != version:
+            spec, folder = f"order_year={_year(year)}", snapshots.year_folder(lake, year, version)
+            spark.sql(f"ALTER TABLE {silver} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{folder}'")
+            spark.sql(f"ALTER TABLE {silver} PARTITION ({spec}) SET LOCATION '{folder}'")
+    gone = [f"version='{v}'" for v in _listed(spark, quarantine, before.pieces, kept) if v not in now.pieces]
+    _drop(spark, quarantine, gone)
+    _add(spark, quarantine, [f"version='{v}'" for v in now.pieces if v not in before.pieces])
+
+    if kept and before.base is not None and before.base == now.base:
+        # As many as were loaded since.
+        added = snapshots.read_batches(spark, lake, now, after=before.number).collect()
+        folders = {row.ingest_batch: folder_names(spark, f"{lake.bronze}/ingest_batch={row.ingest_batch}") for row in added}
+        _add(spark, bronze, [
+            f"ingest_batch='{batch}', {folder}" for batch, names in folders.items() for folder in names if folder.startswith("keyed=")
+        ])
+    else:
+        spark.sql(f"MSCK REPAIR TABLE {bronze} SYNC PARTITIONS")
+    spark.sql(f"ALTER TABLE {silver} SET TBLPROPERTIES ('{SNAPSHOT_PROPERTY}' = '{now.number}')")
+    for name in (silver, quarantine, bronze):
+        spark.catalog.refreshTable(name)
+
+
+def _year(folder: str) -> str:
+    return "null" if folder == snapshots.NULL_YEAR else folder
+
+
+def _listed(spark, table: str, before, kept: bool) -> list[str]:
+    """What the catalog has: as published, or as it says if that snapshot is gone."""
+    if kept:
+        return list(before)
+    return [row.partition.partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def _add(spark, table: str, specs: list[str]) -> None:
+    for low in range(0, len(specs), 100):
+        parts = " ".join(f"PARTITION ({spec})" for spec in specs[low : low + 100])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+
+
+def _drop(spark, table: str, specs: list[str]) -> None:
+    for low in range(0, len(specs), 100):
+        parts = ", ".join(f"PARTITION ({spec})" for spec in specs[low : low + 100])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")

@@ -94,7 +94,7 @@ def test_layout_and_codec(spark, lake, bronze):
     overwrite_silver(silver_current(bronze), lake)
     folders = {path.rsplit("/", 1)[1] for path in glob.glob(f"{lake.silver}/*=*")}
     assert folders == {"order_year=2019", "order_year=2020", "order_year=__HIVE_DEFAULT_PARTITION__"}
-    files = glob.glob(f"{lake.silver}/*/*.parquet")
+    files = glob.glob(f"{lake.silver}/*/*/*.parquet")
     # Rebalanced: one file per folder for so few rows, not one per task.
     assert len(files) == 3
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"SNAPPY"}
