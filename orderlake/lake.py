@@ -96,6 +96,26 @@ class Lake:
     def ledger(self):
         return f"{self.root}/ledger"
 
+    @property
+    def ledger_state(self):
+        return f"{self.root}/ledger_state"
+
+    @property
+    def pending(self):
+        return f"{self.root}/pending"
+
+    @property
+    def runs(self):
+        return f"{self.root}/_runs"
+
+    @property
+    def admissions(self):
+        return f"{self.root}/admissions"
+
+    @property
+    def failures(self):
+        return f"{self.root}/failures"
+
     @property
     def manifest(self):
         return f"{self.root}/manifest"

@@ -1,6 +1,7 @@
 """Offered files -> the landing folder, each content once."""
 
 import sys
+import uuid
 from datetime import datetime, timezone
 
 import pyarrow as pa
@@ -18,6 +19,8 @@ from orderlake.sources.landing import scan_landing
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+DECISION = T.StructType([T.StructField(n, T.StringType()) for n in ("path", "checksum_sha256", "decision", "landing_key")])
+
 
 def with_checksums(files: DataFrame) -> DataFrame:
     """Add the SHA-256 of each file at `path`, read in chunks by a task."""
@@ -78,6 +81,7 @@ def admit_folder(spark: SparkSession, lake: Lake, offered: str, moment: datetime
                 seq = next_seq(spark, lake)
                 puts = L.register_uploads(copy_to_landing(admitted, lake), F.lit(seq), iso_utc(now))
                 append_ledger_of_many_batches(puts, lake, seq)
-            return spark.createDataFrame(
-                decided.select("path", "checksum_sha256", "decision", "landing_key").toArrow()
-            )
+            # The decisions as they were made: the ledger knows these files from now on.
+            path = f"{lake.admissions}/admission={uuid.uuid4().hex}"
+            decided.select(*DECISION.names).write.parquet(path)
+            return spark.read.schema(DECISION).parquet(path)

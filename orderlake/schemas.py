@@ -129,3 +129,9 @@ REFRESH_REPORT_SCHEMA = _struct(
     ("quarantine_count", T.LongType()),
     ("synthetic_region_count", T.LongType()),
 )
+
+FAILURE_SCHEMA = _struct(
+    ("run_id", T.StringType()),
+    ("failed_at", T.TimestampType()),
+    ("error", T.StringType()),
+)

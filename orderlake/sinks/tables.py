@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from orderlake import schemas, snapshots
-from orderlake.files import delete_folder, folder_names, hadoop
+from orderlake.files import delete_folder, exists, folder_names, hadoop, write_new_text
 from orderlake.functions.text import is_missing
 from orderlake.lake import Lake
 from orderlake.snapshots import CODEC, Snapshot
@@ -68,9 +68,11 @@ def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:
     refresh is a full one.
 
     Rows with and without an order key lie in folders of their own, so that silver and quarantine
-    each read just their rows.
+    each read just their rows. A note says that the batch is not in the ledger yet (`settled`).
     """
     spark = bronze.sparkSession
+    if not exists(spark, f"{lake.pending}/{ingest_batch}"):
+        write_new_text(spark, f"{lake.pending}/{ingest_batch}", "")
     keyed = bronze.withColumn("keyed", ~is_missing("order_id"))
     if folder_names(spark, f"{lake.bronze}/ingest_batch={ingest_batch}"):
         snapshots.invalidate(spark, lake)
@@ -78,10 +80,21 @@ def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:
     overwrite(keyed, path, [*schemas.BRONZE_SCHEMA.names, "keyed"], ["keyed"])
 
 
+def settled(spark, lake: Lake, ingest_batch: str) -> None:
+    """The ledger has taken the batch as loaded."""
+    delete_folder(spark, f"{lake.pending}/{ingest_batch}")
+
+
+def unsettled(spark, lake: Lake) -> list[str]:
+    """Batches that were written, or begun, and not taken by the ledger: as many as runs were cut off."""
+    return [name for name in folder_names(spark, lake.pending) if not name.startswith("_")]
+
+
 def remove_bronze(spark, lake: Lake, ingest_batch: str) -> None:
     """Remove a batch that must not count; the next refresh is a full one."""
     snapshots.invalidate(spark, lake)
     delete_folder(spark, f"{lake.bronze}/ingest_batch={ingest_batch}")
+    settled(spark, lake, ingest_batch)
 
 
 def overwrite_quarantine(quarantine: DataFrame, lake: Lake) -> None:

@@ -7,7 +7,7 @@ missing is an error.
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from orderlake import schemas, snapshots
+from orderlake import ledger_store, schemas, snapshots
 from orderlake.lake import Lake
 
 
@@ -75,8 +75,7 @@ def read_layers(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
 
 def read_ledger(spark: SparkSession, lake: Lake) -> DataFrame:
     """Ledger events, not the current state; see operators.ledger.current_state."""
-    ledger = read_table(spark, lake.ledger, schemas.LEDGER_SCHEMA)
-    return ledger.select(*schemas.LEDGER_SCHEMA.names)
+    return ledger_store.all_events(spark, lake).select(*schemas.LEDGER_SCHEMA.names)
 
 
 def between_dates(silver: DataFrame, first: str, last: str) -> DataFrame:
