@@ -14,11 +14,13 @@ from orderlake.functions.text import is_missing
 from orderlake.lake import Lake
 from orderlake.snapshots import CODEC, Snapshot
 
+# About one target file of raw sales rows.
+ROWS_OF_A_FILE = 2_000_000
 ROOT_PROPERTY, SNAPSHOT_PROPERTY = "orderlake.root", "orderlake.snapshot"
 
 
 def overwrite(
-    frame: DataFrame, path: str, columns: list[str], partition_by: list[str] | None = None
+    frame: DataFrame, path: str, columns: list[str], partition_by: list[str] | None = None, rebalance: bool = True
 ) -> None:
     """Replace the whole table at `path` by the named columns of the frame.
 
@@ -26,13 +28,17 @@ def overwrite(
     complete: a write that fails or is running leaves the old table as it was.
 
     The rows are rebalanced first: Spark then cuts them by size instead of by whatever the last
-    shuffle gave, joins small pieces and splits a partition value that is too large for one file.
+    shuffle gave, joins small pieces and splits a partition value that is too large for one file. Without
+    `rebalance` each task writes its rows as they are, `ROWS_OF_A_FILE` to a file.
     """
-    rows = frame.select(*columns).hint("rebalance", *(partition_by or []))
+    rows = frame.select(*columns)
+    if rebalance:
+        rows = rows.hint("rebalance", *(partition_by or []))
     writer = (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("compression", CODEC)
+        .option("maxRecordsPerFile", 0 if rebalance else ROWS_OF_A_FILE)
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -68,7 +74,8 @@ def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:
     refresh is a full one.
 
     Rows with and without an order key lie in folders of their own, so that silver and quarantine
-    each read just their rows. A note says that the batch is not in the ledger yet (`settled`).
+    each read just their rows. They are written by the tasks that read them out of their ZIPs, without a shuffle of
+    the raw text. A note says that the batch is not in the ledger yet (`settled`).
     """
     spark = bronze.sparkSession
     if not exists(spark, f"{lake.pending}/{ingest_batch}"):
@@ -77,7 +84,7 @@ def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:
     if folder_names(spark, f"{lake.bronze}/ingest_batch={ingest_batch}"):
         snapshots.invalidate(spark, lake)
     path = f"{lake.bronze}/ingest_batch={ingest_batch}"
-    overwrite(keyed, path, [*schemas.BRONZE_SCHEMA.names, "keyed"], ["keyed"])
+    overwrite(keyed, path, [*schemas.BRONZE_SCHEMA.names, "keyed"], ["keyed"], rebalance=False)
 
 
 def settled(spark, lake: Lake, ingest_batch: str) -> None:

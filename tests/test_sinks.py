@@ -192,3 +192,16 @@ def test_older_reports_stay_sound(spark, lake, bronze):
     overwrite_silver(some.withColumn("order_year", F.lit(2020)), lake)
     rows = reconciliation(spark, lake, refresh_reports(spark, lake)).collect()
     assert sorted((row.silver_run_id, row.is_sound) for row in rows) == [("first", True), ("second", False)]
+
+
+def test_bronze_is_written_without_a_shuffle_in_files_of_bounded_rows(spark, lake, bronze, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_OF_A_FILE", 50)
+    seen = []
+    original = tables._take_place
+    monkeypatch.setattr(tables, "_take_place", lambda *args: seen.append(glob.glob(f"{args[1]}/*/*.parquet")) or original(*args))
+    append_bronze(bronze, lake, "one")
+    assert same(read_bronze(spark, lake), bronze)
+    sizes = [pq.ParquetFile(path).metadata.num_rows for path in glob.glob(f"{lake.bronze}/*/*/*.parquet")]
+    assert max(sizes) <= 50 and len(sizes) == len(seen[0]) >= 800 / 50
+    overwrite_silver(silver_current(bronze, F.lit(START)), lake)
+    assert len(glob.glob(f"{lake.silver}/*/*/*.parquet")) == 3
