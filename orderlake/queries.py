@@ -34,7 +34,7 @@ from orderlake.sources.csv import match_headers, read_csv
 from orderlake.sources.events import landing_keys
 from orderlake.sources.landing import describe_files, filter_landing_keys, scan_landing
 from orderlake.sources.tables import between_dates, read_bronze, read_layers, read_ledger, read_silver
-from orderlake.streaming.ingest import run_ingest, start_event_ingest, start_ingest
+from orderlake.streaming.ingest import run_ingest, start_event_ingest, start_ingest, start_listing_ingest
 
 QUERIES = {}
 ORACLES = {}
@@ -656,17 +656,45 @@ def stream_recovery(spark, sf_dir) -> DataFrame:
     return read_silver(spark, lake).drop("_transformed_at")
 
 
-@query(f"select distinct regexp_replace(_source_file, '/sales_', case when ends_with(_source_file, '1.zip') then '/_sales_'"
-       f" when ends_with(_source_file, '2.zip') then '/.sales_' else '/sales_' end) as landing_key from ({MANY_SALES_SQL})")
-def landing_scan_names(spark, sf_dir) -> DataFrame:
-    """Landed files, some under names that Spark's own file sources leave out."""
-    lake = Lake(scratch_dir(spark))
+def land_hidden(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
+    """The sales ZIPs, a quarter of them under hidden names."""
     mark = F.when(F.col("_source_file").endswith("1.zip"), "/_sales_").when(
         F.col("_source_file").endswith("2.zip"), "/.sales_"
     )
     hidden = F.replace("_source_file", F.lit("/sales_"), F.coalesce(mark, F.lit("/sales_")))
     rows = fixtures.sales(spark, sf_dir, MANY_FILES).withColumn("_source_file", hidden)
     fixtures.write_zips(fixtures.to_csv_lines(rows), lake.root).count()
+
+
+HIDDEN_SQL = """regexp_replace(_source_file, '/sales_', case when ends_with(_source_file, '1.zip') then '/_sales_'
+ when ends_with(_source_file, '2.zip') then '/.sales_' else '/sales_' end)"""
+
+
+@query(f"select {DATA}, {HIDDEN_SQL} as _source_file, 0::bigint as left_in_landing from ({MANY_SALES_SQL})")
+def listing_stream(spark, sf_dir) -> DataFrame:
+    """Bronze rows after the first round of an endless stream over the landing folder, and how many files it left."""
+    root = scratch_dir(spark)
+    lake = Lake(f"{root}/lake")
+    land_hidden(spark, sf_dir, lake)
+    stream = start_listing_ingest(spark, lake, f"{root}/checkpoint", "1 hour", max_files=50)
+    try:
+        while stream.isActive and not stream.recentProgress:
+            stream.awaitTermination(1)
+    finally:
+        stream.stop()
+    if stream.exception():
+        raise stream.exception()
+    left = scan_landing(spark, lake).count()
+    rows = read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
+    return rows.withColumn("left_in_landing", F.lit(left).cast("bigint"))
+
+
+@query(f"select distinct regexp_replace(_source_file, '/sales_', case when ends_with(_source_file, '1.zip') then '/_sales_'"
+       f" when ends_with(_source_file, '2.zip') then '/.sales_' else '/sales_' end) as landing_key from ({MANY_SALES_SQL})")
+def landing_scan_names(spark, sf_dir) -> DataFrame:
+    """Landed files, some under names that Spark's own file sources leave out."""
+    lake = Lake(scratch_dir(spark))
+    land_hidden(spark, sf_dir, lake)
     return describe_files(scan_landing(spark, lake), lake).select("landing_key")
 
 

@@ -42,31 +42,38 @@ def overwrite(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    new, old = aside(path)
+    writer.parquet(new)
+    _take_place(frame.sparkSession, new, path, old)
+
+
+def aside(path: str) -> tuple[str, str]:
+    """Where a table lies while it is written, and while it is replaced: names beside it that Spark leaves out. It would
+    list one with an equals sign as a partition."""
     folder, _, name = path.rpartition("/")
-    writer.parquet(f"{folder}/_new_{name}")
-    _take_place(frame.sparkSession, f"{folder}/_new_{name}", path, f"{folder}/_old_{name}")
+    name = name.replace("=", "~")
+    return f"{folder}/_new_{name}", f"{folder}/_old_{name}"
 
 
 def _take_place(spark, new: str, path: str, old: str) -> None:
     """Two renames. What a crash between them leaves is put right by the next write or by `restore`."""
     restore(spark, path)
     files, goal = hadoop(spark, path)
-    source, aside = hadoop(spark, new)[1], hadoop(spark, old)[1]
+    source, before = hadoop(spark, new)[1], hadoop(spark, old)[1]
     if files.exists(goal):
-        files.delete(aside, True)
-        files.rename(goal, aside)
+        files.delete(before, True)
+        files.rename(goal, before)
     if not files.rename(source, goal):
         raise OSError(f"cannot rename {new} to {path}")
-    files.delete(aside, True)
+    files.delete(before, True)
 
 
 def restore(spark, path: str) -> None:
     """Put the old table back if a write was cut off while the new one took its place."""
-    folder, _, name = path.rpartition("/")
     files, goal = hadoop(spark, path)
-    aside = hadoop(spark, f"{folder}/_old_{name}")[1]
-    if not files.exists(goal) and files.exists(aside):
-        files.rename(aside, goal)
+    old = hadoop(spark, aside(path)[1])[1]
+    if not files.exists(goal) and files.exists(old):
+        files.rename(old, goal)
 
 
 def append_bronze(bronze: DataFrame, lake: Lake, ingest_batch: str) -> None:

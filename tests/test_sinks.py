@@ -205,3 +205,17 @@ def test_bronze_is_written_without_a_shuffle_in_files_of_bounded_rows(spark, lak
     assert max(sizes) <= 50 and len(sizes) == len(seen[0]) >= 800 / 50
     overwrite_silver(silver_current(bronze, F.lit(START)), lake)
     assert len(glob.glob(f"{lake.silver}/*/*/*.parquet")) == 3
+
+
+def test_a_batch_that_is_being_written_is_not_read(spark, lake, bronze, monkeypatch):
+    append_bronze(bronze, lake, "one")
+    seen = []
+    original = tables._take_place
+    monkeypatch.setattr(tables, "_take_place", lambda *args: seen.append(read_bronze(spark, lake).count()) or original(*args))
+    append_bronze(bronze, lake, "two")
+    append_bronze(bronze, lake, "two")
+    assert seen == [800, 1600] and read_bronze(spark, lake).count() == 1600
+    os.rename(f"{lake.bronze}/ingest_batch=two", tables.aside(f"{lake.bronze}/ingest_batch=two")[1])
+    assert read_bronze(spark, lake).count() == 800
+    tables.restore(spark, f"{lake.bronze}/ingest_batch=two")
+    assert read_bronze(spark, lake).count() == 1600
