@@ -1,14 +1,21 @@
 """Benchmark passages in documents, also with other numbers, names and units in them.
 
-A text becomes a template: numbers, names (words with a capital first letter) and units of measure turn into typed
-placeholders, other words are lower-cased. Every window of `WINDOW` template tokens with enough plain words is
-hashed, and windows of documents are hash-joined with windows of benchmark items; items shorter than a window
-are windows as a whole. Joined windows that lie at one distance form an alignment, and there the slots are
-compared: within it, each value of the item must stand for one value of the document. So "Tom has 3 pears, Tom
-eats 2" matches "Ann has 9 pears, Ann eats 5", and not a text in which the second Tom is Bob.
-
-Windows of documents are first looked up in a bitmap of all benchmark hashes, whose size is bounded; what it lets
-through by chance falls out of the join.
+A text becomes a template: numbers, names and units of measure turn into typed placeholders, other words are
+lower-cased. Adjacent numbers, and adjacent names, share one placeholder ("twenty-five" is as good as "25", "Mary Ann"
+as "Tom"). What is a name does not hang on the case of the text at hand, so copies in capitals, title case or small
+letters have the templates of their originals: a word is a name if the benchmark has it with a capital and never
+without one, or if it has a capital and the benchmark lacks it.
+
+Every window of `WINDOW` template tokens with enough plain words is hashed, and windows of documents are hash-joined
+with windows of benchmark items; items shorter than a window are windows as a whole. Joined windows that lie at one
+distance form an alignment, and there the slots are compared: within it, each value of the item must stand for one
+value of the document. So "Tom has 3 pears, Tom eats 2" matches "Ann has 9 pears, Ann eats 5", and not a text in which
+the second Tom is Bob. Windows whose slots are all equal are copies word for word and count whatever the rest of their
+alignment holds.
+
+The words of the benchmark, and the hashes of its windows, are sent to the tasks as bitmaps, whose size is bounded.
+Both sides are read with the same bitmap of words, so what falls on a bit by chance does so in both; what the bitmap of
+windows lets through by chance falls out of the join.
 """
 
 import re
@@ -19,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from orderlake.llm.encode import text_groups
-from orderlake.llm.scratch import stage, struct
+from orderlake.llm.scratch import drop, stage, struct
 
 WINDOW = 8
 LEAST_PLAIN = 4
@@ -44,36 +51,62 @@ UNITS = (
 NUMBER, NAME, UNIT = 1, 2, 3
 
 
-def canonical(token: str) -> int:
-    """Code of a token: its kind if it is a placeholder, else a hash above all kinds."""
-    lower = token.lower()
-    if token[0].isdigit() or lower in _NUMBERS:
-        return NUMBER
-    if lower in _UNITS:
-        return UNIT
-    if token[0].isupper():
-        return NAME
-    return xxhash.xxh64_intdigest(lower) | 4
+_NUMBERS, _UNITS = frozenset(NUMBER_WORDS), frozenset(UNITS)
 
 
-_NUMBERS, _UNITS = frozenset(NUMBER_WORDS), frozenset(UNITS)
+def word_code(word: str) -> int:
+    """Hash of a lower-case word, above all kinds."""
+    return xxhash.xxh64_intdigest(word) | 4
 
 
-class Template:
-    """Tokens of one text and their codes."""
+class Lexicon:
+    """Codes of tokens by what the benchmark's words are: two bitmaps, of its plain words and of its names."""
 
-    def __init__(self, text: str | None, memo: dict):
-        self.tokens = TOKEN.findall(text) if text else []
+    def __init__(self, plain: np.ndarray, names: np.ndarray):
+        self.plain, self.names, self.memo = plain, names, {}
+
+    @staticmethod
+    def holds(bits: np.ndarray, code: int) -> bool:
+        places = (place & (64 * len(bits) - 1) for place in (code, code >> 32))
+        return all(int(bits[place >> 6]) >> (place & 63) & 1 for place in places)
+
+    def canonical(self, token: str) -> int:
+        """Code of a token: its kind if it is a placeholder, else a hash above all kinds."""
+        lower = token.lower()
+        if token[0].isdigit() or lower in _NUMBERS:
+            return NUMBER
+        if lower in _UNITS:
+            return UNIT
+        code = word_code(lower)
+        if not self.holds(self.plain, code) and (token[0].isupper() or self.holds(self.names, code)):
+            return NAME
+        return code
+
+    def codes(self, tokens: list[str]) -> np.ndarray:
+        memo = self.memo
         if len(memo) > REMEMBERED:
             memo.clear()
         try:
-            codes = list(map(memo.__getitem__, self.tokens))
+            codes = list(map(memo.__getitem__, tokens))
         except KeyError:
-            for token in set(self.tokens):
+            for token in set(tokens):
                 if token not in memo:
-                    memo[token] = canonical(token)
-            codes = list(map(memo.__getitem__, self.tokens))
-        self.codes = np.array(codes, np.uint64)
+                    memo[token] = self.canonical(token)
+            codes = list(map(memo.__getitem__, tokens))
+        return np.array(codes, np.uint64)
+
+
+class Template:
+    """Tokens of one text and their codes; a run of numbers or of names is one token."""
+
+    def __init__(self, text: str | None, lexicon: Lexicon):
+        self.tokens = TOKEN.findall(text) if text else []
+        codes = lexicon.codes(self.tokens)
+        runs = (codes == NUMBER) | (codes == NAME)
+        first = np.ones(len(codes), bool)
+        first[1:] = ~(runs[1:] & (codes[1:] == codes[:-1]))
+        self.starts = np.append(np.flatnonzero(first), len(codes))
+        self.codes = codes[first]
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of the windows of this width that have enough plain words."""
@@ -94,14 +127,34 @@ class Template:
     def slots(self, start: int, width: int) -> list[str]:
         """Values in the placeholders of a window, each after its kind."""
         return [
-            f"{self.codes[i]}{self.tokens[i].lower()}"
+            f"{self.codes[i]}{' '.join(self.tokens[self.starts[i] : self.starts[i + 1]]).lower()}"
             for i in range(start, start + width)
             if self.codes[i] <= UNIT
         ]
 
 
-def _windows(key: str, kind: str, chosen) -> tuple:
-    """The task that turns (key, text) rows into window rows."""
+def benchmark_words(benchmark: DataFrame) -> DataFrame:
+    """Words of the items: `word` (its hash) and `name`, whether it is one. Items with capitals on half of
+    their words or more (in capitals, or titles) say nothing about that."""
+
+    def run(batches):
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words = {t for t in TOKEN.findall(text or "") if t[0].isalpha()}
+                telling = 2 * sum(w[0].isupper() for w in words) < len(words)
+                codes = np.array([word_code(w.lower()) for w in words], np.uint64).view(np.int64)
+                kinds = [[telling and w[0].isupper() == capital for w in words] for capital in (True, False)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes), *(pa.array(kind, pa.bool_()) for kind in kinds)], ["word", "capital", "small"]
+                )
+
+    words = benchmark.select("text").mapInArrow(run, "word long, capital boolean, small boolean").groupBy("word")
+    seen = words.agg(F.max("capital").alias("capital"), F.max("small").alias("small"))
+    return seen.select("word", (F.col("capital") & ~F.col("small")).alias("name"))
+
+
+def _windows(key: str, kind: str, lexicon, chosen) -> tuple:
+    """The task that turns (key, text) rows into window rows. `lexicon` is a broadcast pair of bitmaps."""
     schema = T.StructType(
         struct(f"{key} {kind}, at integer, width integer, code long, n_tokens integer").fields
         + [T.StructField("slots", T.ArrayType(T.StringType()))]
@@ -118,14 +171,14 @@ def _windows(key: str, kind: str, chosen) -> tuple:
     )
 
     def run(batches):
-        memo: dict = {}
+        words = Lexicon(*lexicon.value)
         pick = chosen()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, last in text_groups(texts):
                 rows = []
                 for name, text in zip(keys[first:last], texts[first:last]):
-                    template = Template(text, memo)
+                    template = Template(text, words)
                     for width, at, codes in pick(template):
                         n = len(template.codes)
                         rows += [
@@ -141,7 +194,7 @@ def _windows(key: str, kind: str, chosen) -> tuple:
     return run, schema
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, lexicon) -> DataFrame:
     """Windows of the items: `item_id, at, width, code, n_tokens, slots`. An item shorter than a window is
     one window of its own width; one without words gives none."""
 
@@ -152,28 +205,36 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
         return pick
 
-    run, schema = _windows("item_id", "long", chosen)
+    run, schema = _windows("item_id", "long", lexicon, chosen)
     return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """Bits at the hashes of all windows, and the widths there are. At most `MOST_BITS` bits, so it is
-    small however large the benchmark; the tasks combine the bits of a word before they are sent."""
-    widths = sorted(row.width for row in windows.select("width").distinct().collect())
+def bitmap(codes: DataFrame) -> np.ndarray:
+    """Bits at all hashes (`code`). At most `MOST_BITS` bits, so it is small however large the benchmark; the
+    tasks combine the bits of a word before they are sent."""
     size = 1 << 16
-    n = windows.count()
+    n = codes.count()
     while size < min(64 * n, MOST_BITS):
         size *= 2
     bit = F.col("code").bitwiseAND(F.lit(size - 1))
     word = F.shiftright(bit, 6).alias("word")
     value = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
-    rows = windows.groupBy(word).agg(F.bit_or(value).alias("bits")).toPandas()
+    rows = codes.groupBy(word).agg(F.bit_or(value).alias("bits")).toPandas()
     bits = np.zeros(size // 64, np.int64)
     bits[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return bits.view(np.uint64), widths
+    return bits.view(np.uint64)
+
+
+def lexicon_of(benchmark: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the benchmark's plain words and of its names, two bits a word."""
+    words = stage(benchmark_words(benchmark), "benchmark-words")
+    code = F.explode(F.array(F.col("word"), F.shiftrightunsigned("word", 32))).alias("code")
+    bits = tuple(bitmap(words.filter(F.col("name") == name).select(code)) for name in (False, True))
+    drop(words)
+    return bits
 
 
-def document_windows(docs: DataFrame, key: str, kind: str, filter_) -> DataFrame:
+def document_windows(docs: DataFrame, key: str, kind: str, lexicon, filter_) -> DataFrame:
     """Windows of whole texts that the bitmap lets through."""
 
     def chosen():
@@ -191,7 +252,7 @@ def document_windows(docs: DataFrame, key: str, kind: str, filter_) -> DataFrame
 
         return pick
 
-    run, schema = _windows(key, kind, chosen)
+    run, schema = _windows(key, kind, lexicon, chosen)
     return docs.select(key, "text").mapInArrow(run, schema)
 
 
@@ -199,14 +260,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str) -> DataFrame:
     """Items found in texts, per distinct `key` (a string column of `docs`): `key, item_id, n_windows,
     coverage, n_changed`.
 
-    An item counts as found if consistent alignments cover `LEAST_COVERAGE` of its windows or `LEAST_TOKENS`
-    of its tokens. `n_changed` is the number of slot values that differ. `item_id` null is an item like others;
+    An item counts as found if consistent alignments, and windows with equal slots of others, cover
+    `LEAST_COVERAGE` of its windows or `LEAST_TOKENS` of its tokens. `n_changed` is the number of slot values that
+    differ in a consistent alignment. `item_id` null is an item like others;
     items of equal id count as one.
     """
     spark = docs.sparkSession
-    items = stage(benchmark_windows(benchmark), "benchmark-windows")
-    filter_ = spark.sparkContext.broadcast(bitmap(items))
-    found = document_windows(docs, key, "string", filter_).withColumnsRenamed(
+    lexicon = spark.sparkContext.broadcast(lexicon_of(benchmark))
+    items = stage(benchmark_windows(benchmark, lexicon), "benchmark-windows")
+    widths = sorted(row.width for row in items.select("width").distinct().collect())
+    filter_ = spark.sparkContext.broadcast((bitmap(items.select("code")), widths))
+    found = document_windows(docs, key, "string", lexicon, filter_).withColumnsRenamed(
         {"at": "place", "slots": "values"}
     )
     hits = found.drop("n_tokens").join(items, ["code", "width"])
@@ -216,6 +280,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str) -> DataFrame:
         .groupBy(key, "item_id", "shift")
         .agg(
             F.collect_set("at").alias("at"),
+            F.collect_set(F.when(F.col("slots") == F.col("values"), F.col("at"))).alias("equal"),
             F.max("n_tokens").alias("n_tokens"),
             F.max("width").alias("width"),
             F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"),
@@ -225,8 +290,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str) -> DataFrame:
     changed = F.size(F.filter("pairs", lambda p: p["slots"] != p["values"]))
     sizes = items.groupBy(F.col("item_id").alias("item")).agg(F.countDistinct("at").alias("of"))
     together = (
-        aligned.filter(F.size(values) == F.size("pairs"))
-        .withColumn("changed", changed)
+        aligned.withColumn("consistent", F.size(values) == F.size("pairs"))
+        .withColumn("at", F.when(F.col("consistent"), F.col("at")).otherwise(F.col("equal")))
+        .withColumn("changed", F.when(F.col("consistent"), changed).otherwise(0))
+        .filter(F.size("at") > 0)
         .groupBy(key, "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n_windows"),

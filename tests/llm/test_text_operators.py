@@ -53,6 +53,53 @@ def test_short_items_and_passages(spark):
     assert found_items(spark, [passage], [QUESTION]) == [(0, 0)]
 
 
+def test_copies_in_any_case(spark, sf_dir):
+    """Every item is found in each of its copies, whatever their case, and in no copy of another."""
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").collect()]
+    assert found_items(spark, items, items) == [(i, i) for i in range(len(items))]
+    for change in (str.lower, str.upper, str.title):
+        texts = [f"Before it. {change(t)} Behind it." for t in items]
+        assert found_items(spark, texts, items) == [(i, i) for i in range(len(items))]
+
+
+def test_runs_share_a_placeholder(spark):
+    longer = QUESTION.replace("Tom", "Mary Ann").replace("Mary eats", "Joe eats").replace("gives Mary", "gives Joe")
+    longer = longer.replace("when Mary", "when Joe").replace("12", "twenty-five")
+    assert found_items(spark, [longer, longer.upper()], [QUESTION]) == [(0, 0), (1, 0)]
+
+
+def test_one_clash_leaves_windows_word_for_word(spark):
+    story = (
+        "When Tom came to the village the old miller was out, and nobody in the long street knew where the keys of the "
+        "mill were kept or who had seen them last, so he sat down by the water and waited until the evening bells had "
+        "rung, and then Tom went home again without a word to anyone in the house."
+    )
+    clash = story.replace("then Tom", "then Paul")
+    half = " ".join(story.split()[:12])
+    assert found_items(spark, [story, clash, half], [story]) == [(0, 0), (1, 0)]
+
+
+def test_slots_against_brute_force(spark):
+    """An alignment of the whole item counts if and only if its slots map values to values."""
+    rng = random.Random(5)
+    names, item = ["Ada", "Ben", "Cleo", "Dora"], "{} sees {} near the old bridge while {} calls {} from behind the tall tower"
+    chosen = [[rng.choice(names) for _ in range(4)] for _ in range(60)]
+    first = ["Ada", "Ben", "Ada", "Cleo"]
+    texts = [item.format(*values) for values in chosen]
+    wanted = []
+    for i, values in enumerate(chosen):
+        consistent = all(values[a] == values[b] for a in range(4) for b in range(4) if first[a] == first[b])
+        # Else windows of equal slots are left: spans of eight tokens that hold no changed value.
+        at = [0, 2, 8, 10]
+        changed = [p for p, old, new in zip(at, first, values) if old != new]
+        of = len(item.split()) - 7
+        same = [w for w in range(of) if not any(w <= p < w + 8 for p in changed)]
+        if consistent or 2 * len(same) >= of:
+            wanted.append((i, 0))
+    assert 3 < len(wanted) < 57
+    assert found_items(spark, texts, [item.format(*first)]) == wanted
+
+
 def test_given_leaks(spark, sf_dir, docs):
     """Exactly the documents that hold an item word for word."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
