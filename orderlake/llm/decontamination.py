@@ -63,12 +63,19 @@ class Lexicon:
     """Codes of tokens by what the benchmark's words are: two bitmaps, of its plain words and of its names."""
 
     def __init__(self, plain: np.ndarray, names: np.ndarray):
-        self.plain, self.names, self.memo = plain, names, {}
+        self.plain, self.names = memoryview(plain), memoryview(names)
+        # Token -> place in the table of codes: small integers are the quickest way into an array.
+        self.places: dict[str, int] = {}
+        self.table = np.zeros(1024, np.uint64)
 
     @staticmethod
-    def holds(bits: np.ndarray, code: int) -> bool:
-        places = (place & (64 * len(bits) - 1) for place in (code, code >> 32))
-        return all(int(bits[place >> 6]) >> (place & 63) & 1 for place in places)
+    def holds(bits: memoryview, code: int) -> bool:
+        mask = 64 * len(bits) - 1
+        place = code & mask
+        if not bits[place >> 6] >> (place & 63) & 1:
+            return False
+        place = code >> 32 & mask
+        return bool(bits[place >> 6] >> (place & 63) & 1)
 
     def canonical(self, token: str) -> int:
         """Code of a token: its kind if it is a placeholder, else a hash above all kinds."""
@@ -78,22 +85,24 @@ class Lexicon:
         if lower in _UNITS:
             return UNIT
         code = word_code(lower)
-        if not self.holds(self.plain, code) and (token[0].isupper() or self.holds(self.names, code)):
+        if (token[0].isupper() or self.holds(self.names, code)) and not self.holds(self.plain, code):
             return NAME
         return code
 
     def codes(self, tokens: list[str]) -> np.ndarray:
-        memo = self.memo
-        if len(memo) > REMEMBERED:
-            memo.clear()
+        places = self.places
+        if len(places) > REMEMBERED:
+            places.clear()
         try:
-            codes = list(map(memo.__getitem__, tokens))
+            found = np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens))
         except KeyError:
-            for token in set(tokens):
-                if token not in memo:
-                    memo[token] = self.canonical(token)
-            codes = list(map(memo.__getitem__, tokens))
-        return np.array(codes, np.uint64)
+            for token in set(tokens).difference(places):
+                place = places[token] = len(places)
+                if place == len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table[place] = self.canonical(token)
+            found = np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens))
+        return self.table[found]
 
 
 class Template:
