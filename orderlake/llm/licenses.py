@@ -7,7 +7,7 @@ has the bigram counts it can match written out, and segments meet templates in a
 segment of another size meets none. Everything is built-in functions.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 THRESHOLD = 0.8
 # Templates up to this many bytes, written out per count, are sent to every task; more are joined by a shuffle.
@@ -217,6 +217,135 @@ def scan_licenses(
     )
 
 
+def template_pairs(templates: DataFrame, threshold: float) -> DataFrame:
+    """Distinct bigrams of each template: `pair`, `template_no`, `license`, `m` (bigrams of the template), `high` (of
+    its longest window), `least` (what any window must share with it), `pair_no` and `times` (how often it has it)."""
+    line = on_one_line(clean(F.col("template")))
+    pairs = (
+        templates.select("license", line.alias("line"))
+        .distinct()
+        .withColumn("m", count(F.col("line"), " "))
+        .filter("m > 0")
+        .withColumn("template_no", F.xxhash64("license", "line"))
+        .select("license", "m", "template_no", F.explode(pairs_of(F.col("line"))).alias("pair"))
+        .groupBy("license", "m", "template_no", "pair")
+        .agg(F.count("*").cast("int").alias("times"))
+    )
+    low = F.ceil(F.col("m") * F.lit(threshold) / F.lit(2 - threshold) - 1e-9)
+    return pairs.select(
+        "pair",
+        "template_no",
+        "license",
+        "m",
+        F.floor(F.col("m") * F.lit(2 - threshold) / F.lit(threshold) + 1e-9).cast("int").alias("high"),
+        F.ceil(F.lit(threshold) * (F.col("m") + low) / 2 - 1e-9).cast("int").alias("least"),
+        F.row_number().over(Window.partitionBy("template_no").orderBy("pair")).alias("pair_no"),
+        "times",
+    )
+
+
+def text_pairs(text: Column) -> Column:
+    """Adjacent word pairs of a whole text, in order."""
+
+    def of(words):
+        return F.transform(
+            F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1))
+        )
+
+    # A variable of a lambda is worked out once, where an alias would be copied into each of its uses.
+    return F.flatten(F.transform(F.array(F.split(on_one_line(clean(text)), " ")), of))
+
+
+def best_window(hits: Column) -> Column:
+    """Of the windows that begin in stretch `block`: `minus` (the coefficient, negative), `position`, `n`.
+
+    `hits` are the positions of the template's bigrams in order. A hit adds to what a window shares unless the
+    window holds its bigram as often as the template already.
+    """
+
+    def with_earlier(all_hits):
+        def one(hit, i):
+            same = F.filter(F.slice(all_hits, 1, i), lambda other: other["pair_no"] == hit["pair_no"])
+            before = F.get(same, F.size(same) - hit["times"])
+            return F.struct(
+                hit["position"].alias("position"), F.coalesce(before["position"], F.lit(-1)).alias("before")
+            )
+
+        return F.transform(all_hits, one)
+
+    def best_of(all_hits):
+        def from_start(start):
+            inside = F.filter(
+                all_hits,
+                lambda hit: (hit["position"] >= start["position"])
+                & (hit["position"] < start["position"] + F.col("high")),
+            )
+
+            def add(state, hit):
+                shared = state["shared"] + F.when(hit["before"] < start["position"], 1).otherwise(0)
+                n = hit["position"] - start["position"] + 1
+                window = F.struct(
+                    (-2.0 * shared / (n + F.col("m"))).alias("minus"),
+                    start["position"].alias("position"),
+                    n.alias("n"),
+                )
+                return F.struct(shared.alias("shared"), F.least(state["best"], window).alias("best"))
+
+            nothing = F.struct(F.lit(0.0).alias("minus"), start["position"].alias("position"), F.lit(0).alias("n"))
+            return F.aggregate(
+                inside, F.struct(F.lit(0).alias("shared"), nothing.alias("best")), add, lambda state: state["best"]
+            )
+
+        starts = F.filter(all_hits, lambda hit: F.floor(hit["position"] / F.col("high")) == F.col("block"))
+        return F.array_min(F.transform(starts, from_start))
+
+    return F.get(F.transform(F.transform(F.array(hits), with_earlier), best_of), F.lit(0))
+
+
+def embedded_licenses(
+    docs: DataFrame, templates: DataFrame | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
+    """One row per row of `docs` and licence that some window of its words matches, on lines of its own or not:
+    `doc_id, kind` (`window`), `position` (of the best window's first word, from 0), `license, dice`; of several windows
+    the one with the largest coefficient, then the first.
+
+    Odd input is taken as by `scan_licenses`.
+    """
+    if templates is None:
+        templates = template_frame(docs.sparkSession)
+    known = template_pairs(templates, threshold)
+    size = known.agg(F.sum(F.length("pair") + F.length("license") + 32).alias("bytes")).first()["bytes"] or 0
+    if size <= MOST_SENT_BYTES:
+        known = F.broadcast(known)
+    block = F.floor(F.col("position") / F.col("high"))
+    hits = (
+        docs.filter(F.col("text").isNotNull())
+        .select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+        .select("doc_id", "row", F.posexplode(text_pairs(F.col("text"))).alias("position", "pair"))
+        .join(known, "pair")
+        .withColumn("block", F.explode(F.array(block, block - 1)))
+        .filter("block >= 0")
+    )
+    groups = (
+        hits.groupBy("row", "doc_id", "template_no", "license", "m", "high", "least", "block")
+        .agg(F.collect_list(F.struct("position", "pair_no", "times")).alias("hits"))
+        .filter(F.size("hits") >= F.col("least"))
+    )
+    return (
+        groups.select("row", "doc_id", "license", best_window(F.array_sort("hits")).alias("best"))
+        .filter(-F.col("best.minus") >= threshold)
+        .groupBy("row", "doc_id", "license")
+        .agg(F.min("best").alias("best"))
+        .select(
+            "doc_id",
+            F.lit("window").alias("kind"),
+            F.col("best.position").alias("position"),
+            "license",
+            (-F.col("best.minus")).alias("dice"),
+        )
+    )
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -259,6 +388,28 @@ def oracle_sql(threshold: float = THRESHOLD) -> str:
                       2.0::double * len(list_intersect(found, wanted)) / (len(found) + len(wanted)) as dice
                from found, wanted),
     ranked as (select *, row_number() over (partition by row, kind, position order by dice desc, license) as r
-               from scored where dice >= {threshold}::double)
+               from scored where dice >= {threshold}::double),
+    notices as (select row_number() over () as t, license, p from (select distinct license, p from (
+        select license, {pairs} as p from (
+            select license, string_split({one_line(clean_sql('template'))}, ' ') as w from templates
+        ) where len(w) > 1))),
+    notice_pairs as (select t, any_value(license) as license, any_value(m) as m, pair, count(*) as times
+                     from (select t, license, len(p) as m, unnest(p) as pair from notices) group by t, pair),
+    positions as (select row, doc_id, unnest(p) as pair, generate_subscripts(p, 1) - 1 as pos from (
+        select row, doc_id, {pairs} as p from (
+            select row, doc_id, string_split({one_line('t')}, ' ') as w from cleaned) where len(w) > 1)),
+    hits as (select row, doc_id, pos, t, license, m, pair, times from positions join notice_pairs using (pair)),
+    spans as (select a.row, a.t, a.pos as first, b.pos as last from hits a join hits b
+              on a.row = b.row and a.t = b.t and b.pos >= a.pos and b.pos < a.pos + 2 * a.m),
+    shared as (select row, doc_id, t, license, m, first, last, pair, least(count(*), any_value(times)) as n
+               from spans join hits using (row, t) where pos between first and last
+               group by row, doc_id, t, license, m, first, last, pair),
+    windows as (select row, doc_id, license, first,
+                       2.0::double * sum(n) / (last - first + 1 + m) as dice
+                from shared group by row, doc_id, t, license, m, first, last),
+    best as (select *, row_number() over (partition by row, license order by dice desc, first) as r
+             from windows where dice >= {threshold}::double)
     select doc_id, kind, position::int as position, license, dice from ranked where r = 1
+    union all
+    select doc_id, 'window', first::int, license, dice from best where r = 1
     """

@@ -65,10 +65,11 @@ def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licence notices in documents."""
-    from orderlake.llm.licenses import scan_licenses
+    """Licence notices in documents: on lines and blocks of their own, and anywhere in the text."""
+    from orderlake.llm.licenses import embedded_licenses, scan_licenses
 
-    return scan_licenses(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return scan_licenses(docs).union(embedded_licenses(docs))
 
 
 ORACLES["op9_license_scan"] = licenses.oracle_sql()

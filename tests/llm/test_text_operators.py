@@ -259,6 +259,56 @@ def test_licenses_of_odd_texts(spark, odd, none):
     assert [(r.doc_id, r.dice) for r in licenses.scan_licenses(text, own).collect()] == [(1, 1.0)]
 
 
+def best_windows(text, templates, threshold):
+    """The best window per licence, by trying all."""
+
+    def bag(words):
+        return Counter(zip(words, words[1:]))
+
+    def words_of(text):
+        return re.findall(r"[a-z0-9]+", text.lower())
+
+    found, words = {}, words_of(text)
+    for name, template in templates:
+        wanted = bag(words_of(template))
+        m = sum(wanted.values())
+        for first in range(len(words) - 1 if m else 0):
+            for last in range(first + 1, min(len(words), first + 2 * m + 1)):
+                dice = 2 * sum((bag(words[first : last + 1]) & wanted).values()) / (last - first + m)
+                if dice >= threshold:
+                    found[name] = min(found.get(name, (0, 0)), (-dice, first))
+    return sorted((name, first, -minus) for name, (minus, first) in found.items())
+
+
+def test_licenses_inside_longer_text(spark, odd, none):
+    apache = licenses.TEMPLATES["Apache-2.0"][1]
+    texts = [
+        "Copyright (c) 2020 Foo Bar. Released under the MIT License.",
+        f"Some words stand before it, {apache} and others come behind it on the same line.",
+        f"Title line\n{licenses.TEMPLATES['MIT'][1]}\nand the next line.",
+        "Nothing of the kind, though the License is named and released under the table.",
+        "All rights reserved. " * 40,
+        None,
+        "",
+    ]
+    rows = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, license long")
+    found = {(r.doc_id, r.license): r.dice for r in licenses.embedded_licenses(rows.union(rows.limit(1))).collect()}
+    assert found == {(0, "MIT"): 1, (1, "Apache-2.0"): 1, (2, "MIT"): 1, (4, "all-rights-reserved"): 1}
+    assert licenses.embedded_licenses(rows.union(rows)).count() == 8
+    assert licenses.embedded_licenses(odd).collect() == [] and licenses.embedded_licenses(none).collect() == []
+
+
+def test_license_windows_against_brute_force(spark):
+    rng = random.Random(3)
+    templates = [("x", "a b a b c"), ("x", "c d e f a b"), ("y", "b a b a b a"), ("z", "e"), ("w", "a a a a b b")]
+    texts = [" ".join(rng.choice("aabbcdef") for _ in range(rng.randrange(0, 60))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = spark.createDataFrame(templates, "license string, template string")
+    for threshold in (0.8, 0.6):
+        found = sorted((r.doc_id, r.license, r.position, r.dice) for r in licenses.embedded_licenses(docs, own, threshold).collect())
+        assert found == [(i, *row) for i, text in enumerate(texts) for row in best_windows(text, templates, threshold)]
+
+
 # Language model
 
 
