@@ -6,12 +6,18 @@ linked without being compared, and however large a family of near copies is, it
 
 Then a forest over the balls: each tree splits by random directions at the median, and whatever lies close to a
 split goes to both sides. The upper part of a tree is fitted on a bounded sample; below it Spark groups the balls by
-leaf, and each task goes on splitting its own. Balls of one leaf are compared. Two balls are linked as a whole, or
-not at all, or, if their radii leave it open, member by member. Links are verified in double precision; components
-come from the union of all trees' links.
-
-Fitted on the sample: directions and medians. Every vector is indexed. Pairs may be missed, none is wrong; the
-measured recall is in the README.
+leaf, and each task goes on splitting its own, but for parts so densely linked that a split would only part what
+belongs together. Balls of one leaf are compared. Two balls are linked as a whole, or not at all, or, if their radii
+leave it open, member by member. Links are verified in double precision; components come from the union of all trees'
+links.
+
+A large family that is too loose for balls would be split by every tree. Such *crowds* are found in the sample (a
+leader, and what is near it), every ball near a leader is in the crowd of the nearest one, and crowds are compared
+with themselves and with crowds near them, all with all, in tasks of a block of balls against another. These
+tasks return counts of links and a few edges for the components, not pairs; the forest leaves these pairs out.
+
+Fitted on the sample: directions, medians and leaders. Every vector is indexed. Pairs may be missed, none is wrong;
+the measured recall is in the README.
 """
 
 import numpy as np
@@ -28,6 +34,14 @@ LEAF = 256
 GROUP = 2048
 SAMPLE = 20_000
 LEAST_SAMPLED = 32
+# A crowd: so many balls by the sample's count, and so many sampled ones.
+CROWD = 512
+LEAST_IN_CROWD = 8
+# Reach of a leader, and of a crowd to others, in angles of a link.
+REACH, NEAR = 1.5, 2.5
+BLOCK = 2048
+# Share of linked pairs from which a part of a leaf is compared as a whole.
+DENSE = 0.05
 ROUNDS = 6
 SLACK = 1e-7
 
@@ -81,13 +95,13 @@ class Splits:
         return found
 
 
-def local_leaves(units: np.ndarray, seed: int, spill: float):
-    """Rows of each leaf when one group goes on being split until leaves are small."""
+def local_leaves(units: np.ndarray, seed: int, spill: float, dense=lambda rows: False):
+    """Rows of each leaf when one group goes on being split until leaves are small, or `dense` says to stop."""
     random = np.random.default_rng(seed)
     queue = [np.arange(len(units))]
     while queue:
         rows = queue.pop()
-        if len(rows) <= LEAF:
+        if len(rows) <= LEAF or dense(rows):
             yield rows
             continue
         value = units[rows] @ random.normal(size=units.shape[1])
@@ -171,7 +185,7 @@ def forest(balls: DataFrame, width: int, trees: int, spill: float, seed: int):
     parts = balls.sparkSession.sparkContext.broadcast(
         [(s.directions, s.bounds, s.children) for s in fitted]
     )
-    schema = T.StructType(struct("tree integer, leaf integer").fields + BALL.fields)
+    schema = T.StructType(struct("tree integer, leaf integer").fields + balls.schema.fields)
 
     def run(batches):
         grown = [Splits(*part) for part in parts.value]
@@ -183,7 +197,7 @@ def forest(balls: DataFrame, width: int, trees: int, spill: float, seed: int):
                     place = [pa.array(np.full(len(rows), x, np.int32)) for x in (number, leaf)]
                     yield pa.RecordBatch.from_arrays([*place, *part.columns], schema.names)
 
-    return balls.select(*BALL.names).mapInArrow(run, schema)
+    return balls.mapInArrow(run, schema)
 
 
 def _arrays(table: pa.Table, width: int):
@@ -241,23 +255,177 @@ def collect_balls(rows: DataFrame, width: int, cosine: float) -> tuple[DataFrame
     return balls, stage(member, "members")
 
 
-def compare(balls: DataFrame, width: int, cosine: float, trees: int, spill: float) -> DataFrame:
-    """Pairs of balls that share a leaf of some tree: `a` < `b`, `whole` (all members linked, else open)."""
+def relation(units, radii, others, other_radii, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which balls are linked as a whole with which others, and which are left open."""
     limit = np.arccos(cosine)
+    dots = units @ others.T
+    reach = radii[:, None] + other_radii[None, :]
+    single = reach == 0
+    if single.all():
+        return dots >= cosine, np.zeros(dots.shape, bool)
+    apart = angle(dots)
+    whole = np.where(single, dots >= cosine, apart + reach <= limit - SLACK)
+    return whole, ~whole & ~single & (apart - reach <= limit + SLACK)
+
+
+def find_leaders(sample: np.ndarray, total: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Leaders of the crowds in a sample of `total` balls, and which crowds are near which."""
+    least = max(LEAST_IN_CROWD, -(-CROWD * len(sample) // max(1, total)))
+    degree = np.zeros(len(sample), np.int64)
+    for first in range(0, len(sample), 1024):
+        degree[first : first + 1024] = (sample[first : first + 1024] @ sample.T >= cosine).sum(axis=1)
+    left = np.flatnonzero(degree >= least)
+    left = left[np.argsort(-degree[left], kind="stable")]
+    leaders = []
+    while len(left):
+        near = sample[left] @ sample[left[0]] >= cosine
+        # What few are left over near a crowd is within its reach.
+        if near.sum() >= max(2, least // 2):
+            leaders.append(left[0])
+        near[0] = True
+        left = left[~near]
+    leaders = sample[leaders].reshape(-1, sample.shape[1])
+    near = angle(leaders @ leaders.T) <= NEAR * np.arccos(cosine)
+    return leaders, near | near.T
+
+
+def in_crowds(balls: DataFrame, width: int, cosine: float) -> tuple[DataFrame, np.ndarray]:
+    """`balls` with `crowd` (-1 for none), and which crowds are near which."""
+    total = balls.count()
+    sample = balls.orderBy(F.xxhash64("ball")).limit(SAMPLE).select("vector").toArrow()["vector"]
+    leaders, near = find_leaders(_to_units(sample, width), total, cosine)
+    if not len(leaders):
+        return balls.withColumn("crowd", F.lit(-1)), near
+    sent = balls.sparkSession.sparkContext.broadcast(leaders)
+    bar = np.cos(min(np.pi, REACH * np.arccos(cosine)))
+    schema = T.StructType(balls.schema.fields + struct("crowd integer").fields)
+
+    def run(batches):
+        for batch in batches:
+            units = _to_units(batch.column("vector"), width)
+            for first in range(0, len(units), 1024):
+                dots = units[first : first + 1024] @ sent.value.T
+                crowd = np.where(dots.max(axis=1) >= bar, dots.argmax(axis=1), -1).astype(np.int32)
+                part = batch.slice(first, len(crowd))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(crowd)], schema.names)
+
+    # Written, so that a ball is in one crowd for all that follows.
+    return stage(balls.mapInArrow(run, schema), "crowds"), near
+
+
+def compare_crowds(balls: DataFrame, near: np.ndarray, width: int, cosine: float) -> DataFrame:
+    """All pairs within crowds and between crowds near each other, a block against a block: `a`, `links` (members of
+    other balls linked as a whole with each member), or `a`, `b`, `whole`: an edge for components, or a pair
+    left open."""
+    schema = struct("a long, b long, whole boolean, links long")
+    spark = balls.sparkSession
+    sizes = {r.crowd: r.n for r in balls.filter("crowd >= 0").groupBy("crowd").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return spark.createDataFrame([], schema)
+    blocks = {crowd: -(-n // BLOCK) for crowd, n in sizes.items()}
+    partners = {
+        a: [(int(b), blocks[int(b)]) for b in np.flatnonzero(near[a]) if int(b) in blocks] for a in blocks
+    }
+    key = struct("one integer, block integer, other integer, other_block integer, side integer")
+    sent = T.StructType(key.fields + balls.schema.fields)
+
+    def run(batches):
+        for batch in batches:
+            crowds = batch.column("crowd").to_numpy()
+            ids = batch.column("ball").to_numpy()
+            for crowd in np.unique(crowds).tolist():
+                rows = np.flatnonzero(crowds == crowd)
+                own = (ids[rows].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+                own %= blocks[crowd]
+                for block in np.unique(own).tolist():
+                    part = batch.take(pa.array(rows[own == block]))
+                    for other, n in partners[crowd]:
+                        for other_block in range(n):
+                            mine, theirs = (crowd, block), (other, other_block)
+                            side = int(mine > theirs)
+                            pair = (*theirs, *mine) if side else (*mine, *theirs)
+                            place = [pa.array(np.full(part.num_rows, x, np.int32)) for x in (*pair, side)]
+                            yield pa.RecordBatch.from_arrays([*place, *part.columns], sent.names)
+
+    def blocks_of(table: pa.Table) -> pa.Table:
+        one, block, other, other_block = (table[n][0].as_py() for n in key.names[:4])
+        same = (one, block) == (other, other_block)
+        side = table["side"].to_numpy()
+        sides = [table.filter(pa.array(side == k)) for k in (0, 1)]
+        units, ids, sizes, radii, _ = _arrays(sides[0], width)
+        facing = (units, ids, sizes, radii) if same else _arrays(sides[1], width)[:4]
+        links, facing_links = np.zeros(len(ids), np.int64), np.zeros(len(facing[1]), np.int64)
+        edges, opened = [], []
+        for first in range(0, len(ids), 512):
+            part = slice(first, first + 512)
+            whole, open_ = relation(units[part], radii[part], facing[0], facing[3], cosine)
+            if same:
+                later = np.arange(len(ids))[None, :] > np.arange(len(ids))[part][:, None]
+                whole, open_ = whole & later, open_ & later
+            links[part] += whole @ facing[2]
+            facing_links += sizes[part] @ whole
+            i, j = np.nonzero(open_)
+            opened += zip(ids[first + i].tolist(), facing[1][j].tolist())
+            edges += chosen_edges(whole, ids[part], facing[1])
+        counts = {}
+        for name, n in [*zip(ids.tolist(), links.tolist()), *zip(facing[1].tolist(), facing_links.tolist())]:
+            counts[name] = counts.get(name, 0) + n
+        rows = [(a, None, None, n) for a, n in counts.items() if n]
+        rows += [(a, b, True, None) for a, b in edges] + [(min(p), max(p), False, None) for p in opened]
+        columns = list(zip(*rows)) or [(), (), (), ()]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], schema.names)
+
+    routed = balls.filter("crowd >= 0").mapInArrow(run, sent)
+    return routed.groupBy(*key.names[:4]).applyInArrow(blocks_of, schema)
+
+
+def chosen_edges(whole: np.ndarray, ids: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
+    """Few of the linked pairs (`ids[i]`, `others[j]` where `whole[i, j]`) that connect all they connect."""
+    group = np.full(len(others), -1)
+    edges = []
+    for i in np.flatnonzero(whole.any(axis=1)).tolist():
+        row = np.flatnonzero(whole[i])
+        seen = np.unique(group[row])
+        # One edge to a new member each, and one to each group that the row joins together.
+        fresh = row[group[row] < 0]
+        joined = seen[seen >= 0]
+        firsts = [int(row[np.argmax(group[row] == g)]) for g in joined.tolist()]
+        edges += [(int(ids[i]), int(others[j])) for j in [*fresh.tolist(), *firsts]]
+        label = int(joined[0]) if len(joined) else i
+        group[fresh] = label
+        if len(joined) > 1:
+            group[np.isin(group, joined)] = label
+    return edges
+
+
+def compare(balls: DataFrame, near: np.ndarray, width: int, cosine: float, trees: int, spill: float) -> DataFrame:
+    """Pairs of balls that share a leaf of some tree: `a` < `b`, `whole` (all members linked, else open). Pairs of
+    crowds that are near each other are left out."""
 
     def pairs(table: pa.Table) -> pa.Table:
         seed = 7919 * table["tree"][0].as_py() + table["leaf"][0].as_py()
         units, ids, _, radii, _ = _arrays(table, width)
+        crowd = table.sort_by("ball")["crowd"].to_numpy()
+        random = np.random.default_rng(seed)
+
+        def left_out(rows, others):
+            known = (crowd[rows] >= 0)[:, None] & (crowd[others] >= 0)[None, :]
+            return known & near[crowd[rows][:, None], crowd[others][None, :]] if known.any() else known
+
+        def dense(rows):
+            some = random.choice(rows, min(len(rows), 128), replace=False)
+            linked = (units[some] @ units[rows].T >= cosine) & ~left_out(some, rows)
+            return linked.mean() >= DENSE
+
         found = set()
-        for leaf in local_leaves(units, seed, spill):
-            dots = units[leaf] @ units[leaf].T
-            reach = radii[leaf][:, None] + radii[leaf][None, :]
-            apart = angle(dots)
-            single = reach == 0
-            whole = np.where(single, dots >= cosine, apart + reach <= limit - SLACK)
-            open_ = ~whole & ~single & (apart - reach <= limit + SLACK)
-            i, j = np.nonzero(np.triu(whole | open_, 1))
-            found.update(zip(ids[leaf[i]].tolist(), ids[leaf[j]].tolist(), whole[i, j].tolist()))
+        for leaf in local_leaves(units, seed, spill, dense):
+            for first in range(0, len(leaf), 1024):
+                part = leaf[first : first + 1024]
+                whole, open_ = relation(units[part], radii[part], units[leaf], radii[leaf], cosine)
+                later = np.arange(len(leaf))[None, :] > first + np.arange(len(part))[:, None]
+                i, j = np.nonzero((whole | open_) & later & ~left_out(part, leaf))
+                found.update(zip(ids[part[i]].tolist(), ids[leaf[j]].tolist(), whole[i, j].tolist()))
         a, b, whole = zip(*found) if found else ((), (), ())
         return pa.table(
             [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(whole, pa.bool_())], ["a", "b", "whole"]
@@ -351,22 +519,26 @@ def near_duplicates(
 def linked_vectors(valid: DataFrame, width: int, cosine: float, trees: int, spill: float) -> DataFrame:
     """The result for the unit rows of one length."""
     balls, members = collect_balls(valid, width, cosine)
-    pairs = stage(compare(balls, width, cosine, trees, spill), "pairs")
+    placed, near = in_crowds(balls, width, cosine)
+    crowded = stage(compare_crowds(placed, near, width, cosine), "crowd-links")
+    pairs = stage(compare(placed, near, width, cosine, trees, spill), "pairs")
 
     sizes = balls.select("ball", "n")
     whole = pairs.filter("whole").select(F.col("a").alias("ball"), F.col("b").alias("other"))
     whole = whole.union(whole.select("other", "ball"))
     by_ball = (
         whole.join(sizes.select(F.col("ball").alias("other"), "n"), "other")
+        .select("ball", "n")
+        .union(crowded.filter("links is not null").select("a", "links"))
         .groupBy("ball")
         .agg(F.sum("n").alias("whole_links"))
     )
-    opened = stage(
-        open_links(pairs.filter(~F.col("whole")), balls, members, valid, width, cosine), "open-links"
-    )
+    left_open = pairs.filter(~F.col("whole")).select("a", "b").union(crowded.filter("not whole").select("a", "b"))
+    opened = stage(open_links(left_open, balls, members, valid, width, cosine), "open-links")
     by_row = opened.groupBy("row").agg(F.sum("links").alias("open_links"))
 
-    edges = pairs.filter("whole").select("a", "b").union(opened.select("ball", "other"))
+    edges = pairs.filter("whole").select("a", "b").union(crowded.filter("whole").select("a", "b"))
+    edges = edges.union(opened.select("ball", "other"))
     labels = connected_components(edges).withColumnRenamed("node", "ball")
     named = stage(
         balls.select("ball", "n", "vec_id").join(labels, "ball", "left").withColumn(

@@ -188,3 +188,68 @@ def test_families_of_near_copies(spark):
     rows += list(rng.normal(size=(400, 24)).astype(np.float32))
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
     check_vectors(spark, rows, least=0.95)
+
+
+def loose_family(rng, n, width, low, high):
+    """Vectors whose pairwise cosines lie about evenly between `low` and `high`."""
+    centre = rng.normal(size=width)
+    centre /= np.linalg.norm(centre)
+    noise = rng.normal(size=(n, width))
+    noise -= np.outer(noise @ centre, centre)
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    # A cosine to the centre of c gives pairs of c * c, on average.
+    c = np.sqrt(rng.uniform(low, high, size=n))
+    return c[:, None] * centre + np.sqrt(1 - c * c)[:, None] * noise
+
+
+@pytest.mark.parametrize("n, low, high, least", [(6000, 0.93, 0.95, 1.0), (3000, 0.88, 0.97, 0.99), (400, 0.92, 0.96, 0.99)])
+def test_loose_families(spark, n, low, high, least):
+    """Families too loose for balls, beside as many vectors that are alone."""
+    rng = np.random.default_rng(n)
+    units = np.vstack([loose_family(rng, n, 64, low, high), rng.normal(size=(n, 64))])
+    units = units[rng.permutation(len(units))]
+    rows = [(i, v) for i, v in enumerate(units.tolist())]
+    found = {r.vec_id: r for r in embeddings.near_duplicates(vectors(spark, rows, "double")).collect()}
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    linked = units @ units.T >= 0.9
+    wanted = linked.sum(axis=1) - 1
+    links = np.array([found[i].n_links for i in range(len(rows))])
+    assert (links <= wanted).all() and links.sum() >= least * wanted.sum()
+    largest = wanted.argmax()
+    for i in np.flatnonzero(linked[largest]).tolist():
+        assert found[i].component_id == found[largest].component_id
+
+
+def test_crowds_with_balls_and_neighbours(spark, monkeypatch):
+    """Crowds of balls of all radii, near each other, in small blocks: all as by brute force."""
+    monkeypatch.setattr(embeddings, "CROWD", 20)
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=16)
+    centre /= np.linalg.norm(centre)
+    rows = []
+    for shift in (0.0, 0.35, 0.5):
+        other = centre + shift * np.eye(16)[3]
+        for spread in (0.02, 0.2, 0.33):
+            noise = rng.normal(size=(50, 16))
+            rows += (other + spread * noise / np.linalg.norm(noise, axis=1)[:, None]).tolist()
+    rows += rng.normal(size=(100, 16)).tolist()
+    check_vectors(spark, [(i, v) for i, v in enumerate(rows)], least=0.98)
+
+
+def test_edges_that_connect_a_block():
+    rng = np.random.default_rng(8)
+    for share in (0.0, 0.01, 0.05, 0.5, 1.0):
+        whole = rng.random((40, 60)) < share
+        pairs = [(i, 100 + j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(whole)))]
+        few = embeddings.chosen_edges(whole, np.arange(40), np.arange(100, 160))
+        assert set(few) <= set(pairs) and len(few) <= 160
+        nodes = [*range(40), *range(100, 160)]
+
+        def groups(edges):
+            index, found = union_find(nodes, edges), {}
+            for node, c in index.items():
+                found.setdefault(c, set()).add(node)
+            return sorted(map(sorted, found.values()))
+
+        assert groups(few) == groups(pairs)
