@@ -167,8 +167,10 @@ def segments(docs: DataFrame, high: int) -> DataFrame:
     found = F.flatten(F.transform(F.array(clean(F.col("text"))), all_of))
     return (
         docs.filter(F.col("text").isNotNull())
-        .select("doc_id", F.explode(found).alias("s"))
+        # As for the outer form, see `embedded_licenses`; a text without segments gives a row without line.
+        .select("doc_id", F.explode_outer(found).alias("s"))
         .select("doc_id", "s.kind", "s.position", "s.line")
+        .filter("line is not null")
     )
 
 
@@ -218,7 +220,7 @@ def scan_licenses(
 
 
 def template_pairs(templates: DataFrame, threshold: float) -> DataFrame:
-    """Distinct bigrams of each template: `pair`, `template_no`, `license`, `m` (bigrams of the template), `high` (of
+    """Distinct bigrams of each template: `word`, `next`, `template_no`, `license`, `m` (bigrams of the template), `high` (of
     its longest window), `least` (what any window must share with it), `pair_no` and `times` (how often it has it)."""
     line = on_one_line(clean(F.col("template")))
     pairs = (
@@ -233,7 +235,8 @@ def template_pairs(templates: DataFrame, threshold: float) -> DataFrame:
     )
     low = F.ceil(F.col("m") * F.lit(threshold) / F.lit(2 - threshold) - 1e-9)
     return pairs.select(
-        "pair",
+        F.substring_index("pair", " ", 1).alias("word"),
+        F.substring_index("pair", " ", -1).alias("next"),
         "template_no",
         "license",
         "m",
@@ -245,15 +248,13 @@ def template_pairs(templates: DataFrame, threshold: float) -> DataFrame:
 
 
 def text_pairs(text: Column) -> Column:
-    """Adjacent word pairs of a whole text, in order."""
+    """Adjacent word pairs of a whole text, in order, as structs of two; the last word has no other."""
 
     def of(words):
-        return F.transform(
-            F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1))
-        )
+        return F.arrays_zip(words, F.slice(words, 2, F.size(words)))
 
     # A variable of a lambda is worked out once, where an alias would be copied into each of its uses.
-    return F.flatten(F.transform(F.array(F.split(on_one_line(clean(text)), " ")), of))
+    return F.get(F.transform(F.array(F.split(on_one_line(clean(text)), " ")), of), F.lit(0))
 
 
 def best_window(hits: Column) -> Column:
@@ -314,15 +315,18 @@ def embedded_licenses(
     if templates is None:
         templates = template_frame(docs.sparkSession)
     known = template_pairs(templates, threshold)
-    size = known.agg(F.sum(F.length("pair") + F.length("license") + 32).alias("bytes")).first()["bytes"] or 0
+    size = known.agg(F.sum(F.length("word") + F.length("next") + F.length("license") + 32).alias("bytes")).first()["bytes"] or 0
     if size <= MOST_SENT_BYTES:
         known = F.broadcast(known)
     block = F.floor(F.col("position") / F.col("high"))
     hits = (
         docs.filter(F.col("text").isNotNull())
         .select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-        .select("doc_id", "row", F.posexplode(text_pairs(F.col("text"))).alias("position", "pair"))
-        .join(known, "pair")
+        # The outer form, as for the other one the optimizer works the pairs out twice more, to see if there are any.
+        .select("doc_id", "row", F.posexplode_outer(text_pairs(F.col("text"))).alias("position", "pair"))
+        .select("doc_id", "row", "position", "pair.*")
+        .toDF("doc_id", "row", "position", "word", "next")
+        .join(known, ["word", "next"])
         .withColumn("block", F.explode(F.array(block, block - 1)))
         .filter("block >= 0")
     )
