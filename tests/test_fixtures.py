@@ -1,0 +1,57 @@
+"""How the inputs of the queries are built."""
+
+import zipfile
+
+from pyspark.sql import functions as F
+
+from orderlake import fixtures
+from orderlake.sources.archives import extract_lines
+
+
+def below(plan, text):
+    """The line of a plan that holds a text, and the lines below it in the tree."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if text in line)
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-!"))
+
+    end = next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(lines[at])), len(lines))
+    return "\n".join(lines[at:end])
+
+
+def test_the_widest_table_is_not_shuffled_by_customer(spark, sf_dir):
+    rows = fixtures.sales(spark, sf_dir)
+    joined = below(rows._jdf.queryExecution().optimizedPlan().toString(), "Join Inner, (o_custkey")
+    assert "c_nationkey" in joined and "l_partkey" not in joined
+
+
+def test_stored_rows_are_joined_once(spark, sf_dir):
+    rows = fixtures.bronze(spark, sf_dir)
+    stored = fixtures.stored(rows)
+    assert "Join" not in stored._jdf.queryExecution().optimizedPlan().toString()
+    assert stored.dtypes == rows.dtypes
+    assert stored.exceptAll(rows).isEmpty() and rows.exceptAll(stored).isEmpty()
+
+
+def test_zips_hold_the_lines_as_they_are(spark, tmp_path):
+    texts = ["a,b", "", '"x, ""y"""', "é,\u4e2d", "a,b", " z "]
+    rows = [(f"landing/{i % 3}.zip", f"{text}{i % 2}") for i in range(60) for text in texts]
+    for attempt in "ab":
+        lines = spark.createDataFrame(rows, "_source_file STRING, line STRING").repartition(5 if attempt == "a" else 2)
+        assert fixtures.write_zips(lines, str(tmp_path / attempt)).count() == 3
+    for i in range(3):
+        path = f"landing/{i}.zip"
+        assert (tmp_path / "a" / path).read_bytes() == (tmp_path / "b" / path).read_bytes()
+        with zipfile.ZipFile(tmp_path / "a" / path) as archive:
+            found = archive.read("sales.csv").decode().split("\n")
+        assert sorted(found[1:-1]) == sorted(text for key, text in rows if key == path) and found[-1] == ""
+
+
+def test_lines_carry_only_what_is_asked_for(spark, tmp_path):
+    lines = spark.createDataFrame([("landing/a.zip", "1,2")], "_source_file STRING, line STRING")
+    fixtures.write_zips(lines, str(tmp_path)).count()
+    files = spark.createDataFrame([(f"{tmp_path}/landing/a.zip", "k")], "path STRING, landing_key STRING")
+    rows = extract_lines(files, ["landing_key"]).filter(F.col("line_no") > 0)
+    assert rows.columns == ["landing_key", "line_no", "line"]
+    assert [tuple(row) for row in rows.collect()] == [("k", 1, "1,2")]
