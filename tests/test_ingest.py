@@ -366,6 +366,23 @@ def test_skipped_files_are_not_opened_again(spark, lake):
     assert [r.order_id for r in ingest.bronze_rows(chosen, F.current_timestamp()).collect()] == ["2"]
 
 
+def test_lines_carry_positions_only_where_layouts_differ(spark, lake):
+    write_zip(lake.root, "landing/a.zip", csv(line(1)))
+    write_zip(lake.root, "landing/b.zip", csv(line(2)))
+
+    def rows():
+        manifest = ingest.write_manifest(scan_landing(spark, lake), lake, "looked at")
+        found = ingest.bronze_rows(match_headers(manifest, ingest.widest_header(manifest)), F.current_timestamp())
+        tasks = found._jdf.queryExecution().optimizedPlan().toString().partition("MapInArrow")[2]
+        return sorted(r.order_id for r in found.collect()), "positions" in tasks.partition("\n")[0]
+
+    assert rows() == (["1", "2"], False)
+    head, _, rest = csv(line(3)).partition("\n")
+    names, values = head.split(","), rest.rstrip("\n").split(",")
+    write_zip(lake.root, "landing/c.zip", ",".join(names[::-1]) + "\n" + ",".join(values[::-1]) + "\n")
+    assert rows() == (["1", "2", "3"], True)
+
+
 def test_events_start_ingestion(spark, lake, tmp_path):
     import json
 
