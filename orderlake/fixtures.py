@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderlake.functions.paths import LANDING_PREFIX
-from orderlake.lake import Lake
+from orderlake.lake import Lake, tidy_session
 from orderlake.schemas import HEADER_MAP
 
 # Tasks get the functions of this module with the job: executors need no copy of the package.
@@ -199,7 +199,7 @@ def write_zips(lines: DataFrame, root: str, copies: str | None = None) -> DataFr
 
 def land_sales(spark: SparkSession, sf_dir: str, root: str, copies: str | None = None) -> int:
     """The sales rows as ZIPs in the landing folder of a lake at `root`; returns their number."""
-    rows = sales(spark, sf_dir, MANY_FILES)
+    rows = sales(tidy_session(spark), sf_dir, MANY_FILES)
     return write_zips(to_csv_lines(rows), root, copies).count()
 
 

@@ -1,24 +1,48 @@
 """The latest row of each order."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderlake.schemas import DATA_COLUMNS
 
 # Rows of one file tie on time and file; the raw data columns settle it, so that the
 # winner does not depend on how Spark happened to distribute the rows.
 ORDERING = ["_ingested_at", "_source_file"] + [c for c in DATA_COLUMNS if c != "order_id"]
+PACKED = [name for name in ORDERING if name in DATA_COLUMNS]
+# Ends a field, escapes itself and the end, begins a text that is there: in order, so that packed rows sort as their
+# fields do, one after the other and NULL before any text.
+END, ESCAPE, BEGIN = "\x00", "\x01", "\x02"
+
+
+def packed_fields(names: list[str]) -> Column:
+    """Text columns as one text: a third less to shuffle than a column each. Equal to and before another one as the
+    fields are."""
+
+    def field(name):
+        escaped = F.replace(F.replace(name, F.lit(ESCAPE), F.lit(ESCAPE + BEGIN)), F.lit(END), F.lit(ESCAPE + ESCAPE))
+        return F.coalesce(F.concat(F.lit(BEGIN), escaped, F.lit(END)), F.lit(END))
+
+    return F.concat(*[field(F.col(name)) for name in names])
+
+
+def unpacked_field(fields: Column, i: int) -> Column:
+    """A field of the packed text that was split at `END`."""
+    text = F.substring(F.get(fields, F.lit(i)), 2, 2**31 - 1)
+    text = F.replace(F.replace(text, F.lit(ESCAPE + ESCAPE), F.lit(END)), F.lit(ESCAPE + BEGIN), F.lit(ESCAPE))
+    return F.when(F.get(fields, F.lit(i)) != "", text)
 
 
 def latest_per_order(valid: DataFrame) -> DataFrame:
     """One row per raw (untrimmed) `order_id`: newest `_ingested_at`, then highest `_source_file`.
 
     Spark keeps one row per key in each input partition before the shuffle (WindowGroupLimit in
-    the plan), so a key that holds a large part of all rows sends one row per input partition.
+    the plan), so a key that holds a large part of all rows sends one row per input partition. The data columns
+    go through the shuffle as one text.
     """
-    newest_first = [F.col(name).desc_nulls_last() for name in ORDERING]
+    others = [name for name in valid.columns if name not in PACKED]
+    packed = valid.select(*others, packed_fields(PACKED).alias("_packed"))
+    newest_first = [F.col(name).desc_nulls_last() for name in ("_ingested_at", "_source_file", "_packed")]
     window = Window.partitionBy("order_id").orderBy(*newest_first)
-    return (
-        valid.withColumn("_row_number", F.row_number().over(window))
-        .filter("_row_number = 1")
-        .drop("_row_number")
-    )
+    newest = packed.withColumn("_row_number", F.row_number().over(window)).filter("_row_number = 1")
+    fields = newest.withColumn("_packed", F.split("_packed", END))
+    data = {name: unpacked_field(F.col("_packed"), i).alias(name) for i, name in enumerate(PACKED)}
+    return fields.select(*[data.get(name, name) for name in valid.columns])

@@ -132,7 +132,9 @@ def changed_orders(spark: SparkSession, lake: Lake, before: Snapshot, new: list[
     read for that. Where both are the same, the raw columns decide, which silver has not: for such orders, rows of one
     file that came in twice, the best new row competes with the rows of the earlier batches in bronze.
     """
-    best = latest_per_order(valid_order(read_bronze(spark, lake, keyed=True, ingest_batch=new)))
+    # Silver has no checksum and no order rests on it: 64 characters that would be shuffled with each row.
+    fresh = read_bronze(spark, lake, keyed=True, ingest_batch=new).drop("_checksum_sha256")
+    best = latest_per_order(valid_order(fresh))
     stored = snapshots.read_years(spark, lake, SILVER_SCHEMA, before.years).select(
         "order_id",
         F.struct("_ingested_at", "_source_file").alias("old_rank"),
@@ -154,7 +156,7 @@ def changed_orders(spark: SparkSession, lake: Lake, before: Snapshot, new: list[
         return ahead.drop("is_tie")
     # The best of the new rows against those of the batches before, which are all that silver rests on.
     earlier = read_bronze(spark, lake, keyed=True, with_batch=True).filter(~F.col("ingest_batch").isin(new))
-    rivals = valid_order(earlier.drop("ingest_batch"))
+    rivals = valid_order(earlier.drop("ingest_batch", "_checksum_sha256"))
     if n_ties <= MOST_SENT:
         # Hashes of the few keys let nearly all other rows go before the shuffle; the join decides.
         keys = ties.select(F.xxhash64("order_id").alias("key"))

@@ -11,7 +11,7 @@ from orderlake import fixtures, schemas
 from orderlake.fixtures import MANY_FILES, sales_sql_duckdb, scratch_dir, table
 from orderlake.functions.parsing import parse_int
 from orderlake.functions.paths import archive_key, content_checksum, iso_utc, landing_name
-from orderlake.lake import Lake
+from orderlake.lake import Lake, tidy_session
 from orderlake.operators import ledger as L
 from orderlake.operators.bronze import add_lineage, conform_columns
 from orderlake.operators.checks import duplicate_orders, layer_counts
@@ -645,9 +645,11 @@ def stream_recovery(spark, sf_dir) -> DataFrame:
     completes the files, but loads nothing."""
     root = scratch_dir(spark)
     lake = Lake(f"{root}/lake")
-    fixtures.land_sales(spark, sf_dir, lake.root)
-    rows = fixtures.sales(spark, sf_dir, MANY_FILES)
+    work = tidy_session(spark)
+    rows = fixtures.sales(work, sf_dir, MANY_FILES)
     append_bronze(rows.withColumn("_checksum_sha256", F.lit("earlier")), lake, "earlier")
+    # The ZIPs are made of the stored rows, which are joined once.
+    fixtures.write_zips(fixtures.to_csv_lines(read_bronze(work, lake)), lake.root).count()
     loaded = write_manifest(scan_landing(spark, lake), lake, "earlier").withColumn(
         "row_count", F.lit(0)
     )

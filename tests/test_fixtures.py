@@ -1,13 +1,22 @@
 """How the inputs of the queries are built."""
 
+import glob
 import zipfile
 
 from pyspark.sql import functions as F
 
 from orderlake import fixtures
+from orderlake.lake import SHUFFLE_CLEANUP, tidy_session
+from orderlake.queries import stream_recovery
 from orderlake.sources.archives import extract_lines
 
 
+def stored_shuffles(spark):
+    """Files of shuffles that this session's application has on disk."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name for folder in folders for name in glob.glob(f"{folder}/*/shuffle_*.data")}
+
+
 def below(plan, text):
     """The line of a plan that holds a text, and the lines below it in the tree."""
     lines = plan.splitlines()
@@ -55,3 +64,20 @@ def test_lines_carry_only_what_is_asked_for(spark, tmp_path):
     rows = extract_lines(files, ["landing_key"]).filter(F.col("line_no") > 0)
     assert rows.columns == ["landing_key", "line_no", "line"]
     assert [tuple(row) for row in rows.collect()] == [("k", 1, "1,2")]
+
+
+def test_a_tidy_session_keeps_no_shuffle_files(spark, tmp_path):
+    def left(session, name):
+        known = stored_shuffles(spark)
+        session.range(1000).repartition(4, "id").write.parquet(str(tmp_path / name))
+        return stored_shuffles(spark) - known
+
+    assert not left(tidy_session(spark), "tidy") and left(spark, "plain")
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_rows_of_the_recovery_are_joined_once(spark, sf_dir, monkeypatch):
+    calls = []
+    sales = fixtures.sales
+    monkeypatch.setattr(fixtures, "sales", lambda *args: calls.append(args) or sales(*args))
+    assert stream_recovery(spark, sf_dir).count() and len(calls) == 1

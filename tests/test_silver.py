@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake.operators.checks import duplicate_orders, layer_counts
-from orderlake.operators.latest import ORDERING, latest_per_order
+from orderlake.operators.latest import END, ORDERING, latest_per_order, packed_fields, unpacked_field
 from orderlake.operators.metrics import load_metrics, refresh_metrics, refresh_report
 from orderlake.operators.split import missing_order, quarantine, valid_order
 from orderlake.operators.typed import flag_and_impute_region
@@ -145,3 +145,20 @@ def test_silver_has_no_duplicate_orders(bronze):
     assert duplicate_orders(silver_current(bronze)).isEmpty()
     hot = duplicate_orders(bronze).filter("order_id = 'hot'").first()
     assert hot.duplicate_count > 1000
+
+
+def test_packed_fields_sort_and_come_back_as_they_are(spark):
+    texts = [None, "", " ", "a", "ab", "b", "é", "日", "\x00", "\x01", "\x02", "\x00a", "\x01\x01", "\x01\x02", "\x00\x01", "\x02\x00"]
+    pairs = [(x, y) for x in texts for y in texts]
+    frame = spark.createDataFrame(pairs, "x STRING, y STRING").withColumn("p", packed_fields(["x", "y"]))
+    fields = F.split("p", END)
+    found = frame.select("x", "y", unpacked_field(fields, 0).alias("u"), unpacked_field(fields, 1).alias("v"), "p").collect()
+    assert all((row.x, row.y) == (row.u, row.v) for row in found) and len({row.p for row in found}) == len(pairs)
+    by_fields = [(row.x, row.y) for row in frame.orderBy("x", "y").collect()]
+    assert [(row.x, row.y) for row in frame.orderBy("p").collect()] == by_fields
+
+
+def test_latest_row_shuffles_its_data_as_one_text(bronze):
+    plan = latest_per_order(valid_order(bronze))._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning(order_id")
+    assert "_packed" in plan[exchange:] and "unit_price" not in plan[exchange:].split("Project")[0]
