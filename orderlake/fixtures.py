@@ -133,9 +133,25 @@ def to_csv_lines(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_zips(lines: DataFrame, root: str, copies: str | None = None) -> DataFrame:
-    """Write one ZIP per `_source_file` under `root`, in tasks; returns one row per file. With
-    `copies`, each ZIP is also put under that folder.
+def begin_zip(files, path: str):
+    """A new ZIP at `path` and its member, which is to be written; the same texts give the same bytes."""
+    archive = zipfile.ZipFile(files.open_output_stream(path), "w")
+    # A fixed time stamp.
+    info = zipfile.ZipInfo("sales.csv", (2026, 1, 1, 0, 0, 0))
+    info.compress_type = zipfile.ZIP_DEFLATED
+    info.compress_level = zlib.Z_BEST_SPEED
+    return archive, archive.open(info, "w", force_zip64=True)
+
+
+def end_zip(archive, member) -> None:
+    member.close()
+    stream = archive.fp
+    archive.close()
+    stream.close()
+
+
+def write_zips(lines: DataFrame, root: str) -> DataFrame:
+    """Write one ZIP per `_source_file` under `root`, in tasks; returns one row per file.
 
     A ZIP is written under a temporary name and then renamed, so that a repeated task leaves the
     same file.
@@ -149,26 +165,13 @@ def write_zips(lines: DataFrame, root: str, copies: str | None = None) -> DataFr
         def begin(key):
             path = f"{folder}/{key}"
             files.create_dir(path.rpartition("/")[0])
-            archive = zipfile.ZipFile(files.open_output_stream(f"{path}.part"), "w")
-            # A fixed time stamp: the same rows give the same bytes.
-            info = zipfile.ZipInfo("sales.csv", (2026, 1, 1, 0, 0, 0))
-            info.compress_type = zipfile.ZIP_DEFLATED
-            info.compress_level = zlib.Z_BEST_SPEED
-            member = archive.open(info, "w", force_zip64=True)
+            archive, member = begin_zip(files, f"{path}.part")
             member.write(f"{header}\n".encode())
             return key, archive, member
 
         def finish():
-            member.close()
-            stream = archive.fp
-            archive.close()
-            stream.close()
-            path = f"{folder}/{name}"
-            files.move(f"{path}.part", path)
-            if copies:
-                target = f"{fs.FileSystem.from_uri(copies)[1]}/{name}"
-                files.create_dir(target.rpartition("/")[0])
-                files.copy_file(path, target)
+            end_zip(archive, member)
+            files.move(f"{folder}/{name}.part", f"{folder}/{name}")
             return pa.RecordBatch.from_pydict({"landing_key": [name]})
 
         for batch in batches:
@@ -197,10 +200,25 @@ def write_zips(lines: DataFrame, root: str, copies: str | None = None) -> DataFr
     return ended.mapInArrow(run, "landing_key STRING")
 
 
-def land_sales(spark: SparkSession, sf_dir: str, root: str, copies: str | None = None) -> int:
+def land_sales(spark: SparkSession, sf_dir: str, root: str) -> int:
     """The sales rows as ZIPs in the landing folder of a lake at `root`; returns their number."""
     rows = sales(tidy_session(spark), sf_dir, MANY_FILES)
-    return write_zips(to_csv_lines(rows), root, copies).count()
+    return write_zips(to_csv_lines(rows), root).count()
+
+
+def in_tasks(keys: DataFrame, root: str, do) -> int:
+    """Call `do` with pyarrow's file system, the root in it, and the `landing_key` of each ZIP, in tasks; returns their
+    number. All keys are listed before the first call."""
+
+    def run(batches):
+        files, folder = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for key in batch.column(0).to_pylist():
+                do(files, folder, key)
+            yield batch
+
+    tasks = 4 * keys.sparkSession.sparkContext.defaultParallelism
+    return keys.select("landing_key").repartition(tasks, "landing_key").mapInArrow(run, "landing_key STRING").count()
 
 
 def damage_zips(keys: DataFrame, root: str) -> int:
@@ -221,10 +239,17 @@ def damage_zips(keys: DataFrame, root: str) -> int:
     return keys.select("landing_key").mapInArrow(run, "landing_key STRING").count()
 
 
-def land_copies(copies: str, lake: Lake) -> None:
-    """Let the copies land too, under other names: one rename of their folder."""
-    files, source = fs.FileSystem.from_uri(f"{copies}/landing")
-    files.move(source, fs.FileSystem.from_uri(f"{lake.landing}/again")[1])
+def land_copies(keys: DataFrame, lake: Lake) -> int:
+    """Let a copy of each landed ZIP (`landing_key`) land under another name; returns their number."""
+    again = f"{LANDING_PREFIX}again/"
+
+    def copy(files, folder, key):
+        path = f"{folder}/{again}{key.removeprefix(LANDING_PREFIX)}"
+        files.create_dir(path.rpartition("/")[0])
+        files.copy_file(f"{folder}/{key}", f"{path}.part")
+        files.move(f"{path}.part", path)
+
+    return in_tasks(keys.filter(~F.col("landing_key").startswith(again)), lake.root, copy)
 
 
 def document_files(documents: DataFrame) -> DataFrame:

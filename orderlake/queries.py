@@ -632,9 +632,9 @@ def stream_ingest(spark, sf_dir) -> DataFrame:
     must not be loaded again."""
     root = scratch_dir(spark)
     lake = Lake(f"{root}/lake")
-    fixtures.land_sales(spark, sf_dir, lake.root, f"{root}/copies")
+    fixtures.land_sales(spark, sf_dir, lake.root)
     run_ingest(spark, lake, archive=False)
-    fixtures.land_copies(f"{root}/copies", lake)
+    fixtures.land_copies(describe_files(scan_landing(spark, lake), lake), lake)
     run_ingest(spark, lake, archive=False)
     return read_bronze(spark, lake).select(*schemas.DATA_COLUMNS, "_source_file")
 

@@ -9,6 +9,7 @@ from orderlake import fixtures
 from orderlake.lake import SHUFFLE_CLEANUP, tidy_session
 from orderlake.queries import stream_recovery
 from orderlake.sources.archives import extract_lines
+from orderlake.sources.landing import describe_files, scan_landing
 
 
 def stored_shuffles(spark):
@@ -66,6 +67,15 @@ def test_lines_carry_only_what_is_asked_for(spark, tmp_path):
     assert [tuple(row) for row in rows.collect()] == [("k", 1, "1,2")]
 
 
+def test_copies_land_once(spark, lake):
+    lines = spark.createDataFrame([("landing/d=1/a.zip", "1"), ("landing/b.zip", "2")], "_source_file STRING, line STRING")
+    fixtures.write_zips(lines, lake.root).count()
+    for _ in range(2):
+        assert fixtures.land_copies(describe_files(scan_landing(spark, lake), lake), lake) == 2
+    found = {row.landing_key for row in describe_files(scan_landing(spark, lake), lake).collect()}
+    assert found == {"landing/d=1/a.zip", "landing/b.zip", "landing/again/d=1/a.zip", "landing/again/b.zip"}
+
+
 def test_a_tidy_session_keeps_no_shuffle_files(spark, tmp_path):
     def left(session, name):
         known = stored_shuffles(spark)
