@@ -67,6 +67,18 @@ def test_lines_carry_only_what_is_asked_for(spark, tmp_path):
     assert [tuple(row) for row in rows.collect()] == [("k", 1, "1,2")]
 
 
+def test_doubled_zips_are_those_of_all_lines_twice(spark, lake, tmp_path):
+    rows = [(f"landing/d={i % 2}/{i % 3}.zip", f'{i},"a ""b",é') for i in range(40)] + [("landing/d=0/0.zip", "7")] * 3
+    lines = spark.createDataFrame(rows, "_source_file STRING, line STRING")
+    fixtures.write_zips(lines, lake.root).count()
+    keys = describe_files(scan_landing(spark, lake), lake)
+    assert fixtures.double_lines(keys, lake.root) == 6
+    fixtures.write_zips(lines.union(lines), str(tmp_path / "twice")).count()
+    for key in {key for key, _ in rows}:
+        assert (tmp_path / "lake" / key).read_bytes() == (tmp_path / "twice" / key).read_bytes()
+    assert len(list((tmp_path / "lake").rglob("*.*"))) == 6
+
+
 def test_copies_land_once(spark, lake):
     lines = spark.createDataFrame([("landing/d=1/a.zip", "1"), ("landing/b.zip", "2")], "_source_file STRING, line STRING")
     fixtures.write_zips(lines, lake.root).count()
