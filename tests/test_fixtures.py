@@ -103,3 +103,17 @@ def test_rows_of_the_recovery_are_joined_once(spark, sf_dir, monkeypatch):
     sales = fixtures.sales
     monkeypatch.setattr(fixtures, "sales", lambda *args: calls.append(args) or sales(*args))
     assert stream_recovery(spark, sf_dir).count() and len(calls) == 1
+
+
+def test_lines_are_shuffled_in_compressed_blocks(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "COLLECTED_BYTES", 20_000)
+    rows = spark.range(30_000, numPartitions=3).selectExpr(
+        "concat('landing/', if(id % 7 = 0, null, id % 7), '.zip') as _source_file",
+        "if(id % 11 = 0, null, concat('Asia,Japan,Fruits,Online,H,1/2/2020,', id)) as line",
+    )
+    dealt = fixtures.by_file(rows)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "line" not in plan[plan.index("Exchange hashpartitioning(part") :].split("MapInArrow")[0]
+    assert dealt.exceptAll(rows).isEmpty() and rows.exceptAll(dealt).isEmpty()
+    places = dealt.select("_source_file", F.spark_partition_id().alias("at")).distinct()
+    assert places.count() == places.select("_source_file").distinct().count() == 7
